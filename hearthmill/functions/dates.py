@@ -12,7 +12,8 @@ _ISO_DATE = (
 _COMPACT_DATE = r"^\d{8}$"
 
 # Fixed value: year-first date on a receipt once "_" and "/" read as "-".
-_RECEIPT_DATE = r"(\d{4})-(\d{1,2})-(\d{1,2})"
+_RECEIPT_DATE = r"\d{4}-\d{1,2}-\d{1,2}"
+_POSSIBLE_DATE = r"-(0?[1-9]|1[0-2])-(0?[1-9]|[12]\d|3[01])$"
 
 _MESSAGE_DATE = r"(\d{1,2} [A-Za-z]{3} \d{4})"
 
@@ -29,29 +30,18 @@ def receipt_date_text(text: Column) -> Column:
 
     The day is not checked against the month's length; ``receipt_date`` does.
     """
-
-    def padded(candidate: Column) -> Column:
-        parts = F.split(candidate, "-")
-        month, day = F.get(parts, F.lit(1)).cast("int"), F.get(parts, F.lit(2)).cast("int")
-        return F.when(
-            month.between(1, 12) & day.between(1, 31),
-            F.concat_ws(
-                "-",
-                F.get(parts, F.lit(0)),
-                F.lpad(month.cast("string"), 2, "0"),
-                F.lpad(day.cast("string"), 2, "0"),
-            ),
-        )
-
     dashed = F.translate(text, "_/", "--")
     candidates = F.regexp_extract_all(dashed, F.lit(_RECEIPT_DATE), F.lit(0))
-    valid = F.filter(F.transform(candidates, padded), lambda d: d.isNotNull())
-    return F.get(valid, F.lit(0))
+    first = F.get(F.filter(candidates, lambda date: date.rlike(_POSSIBLE_DATE)), F.lit(0))
+    year, month, day = [F.get(F.split(first, "-"), F.lit(place)) for place in range(3)]
+    return F.when(
+        first.isNotNull(), F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
+    )
 
 
-def receipt_date(text: Column) -> Column:
-    """Typed receipt date; null where the day does not exist."""
-    return F.try_to_date(receipt_date_text(text), "yyyy-MM-dd")
+def receipt_date(date_text: Column) -> Column:
+    """Typed date of ``receipt_date_text``; null where the day does not exist."""
+    return F.try_to_date(date_text, "yyyy-MM-dd")
 
 
 def message_date(header: Column) -> Column:

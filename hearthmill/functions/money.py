@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from hearthmill.functions.text import strip
 
 # Spark alone would also read "1.5d"; a bank cell must be a plain number.
-_PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_INFINITE = r"(?i)^[+-]?inf(inity)?$"
+_PLAIN_NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
 
 # Cell texts that mean "no amount".
 _MISSING_TEXTS = ["", "nan", "None"]
@@ -28,8 +27,7 @@ def _signed_text(cell: Column) -> Column:
 
 
 def _number(text: Column) -> Column:
-    readable = text.rlike(_PLAIN_NUMBER) | text.rlike(_INFINITE)
-    return F.when(readable, text.try_cast("double"))
+    return F.when(text.rlike(_PLAIN_NUMBER), text.try_cast("double"))
 
 
 def _is_missing(text: Column) -> Column:
@@ -80,7 +78,7 @@ def bill_tokens(text: Column) -> Column:
 
 def receipt_total(text: Column) -> Column:
     """Largest two-decimal figure on a receipt; commas end a figure."""
-    return F.array_max(F.transform(receipt_tokens(text), lambda t: t.cast("double")))
+    return F.array_max(receipt_tokens(text).cast("array<double>"))
 
 
 def bill_total(text: Column) -> Column:

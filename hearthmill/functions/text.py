@@ -39,12 +39,13 @@ HTML_ENTITIES = {
 _NODE_BREAK = "\x01"
 
 _HTML_MARKUP = [
-    r"(?s)<!--.*?-->",
-    r"(?is)<script\b[^>]*>.*?</script\s*>",
-    r"(?is)<style\b[^>]*>.*?</style\s*>",
-    r"(?is)<template\b[^>]*>.*?</template\s*>",
+    r"(?s)<!--.*?(?:-->|\z)",
+    r"(?is)<script\b[^>]*>.*?(?:</script\s*>|\z)",
+    r"(?is)<style\b[^>]*>.*?(?:</style\s*>|\z)",
+    r"(?is)<template\b[^>]*>.*?(?:</template\s*>|\z)",
     r"(?s)<[!?][^>]*>",
-    r"""(?s)</?[A-Za-z](?:"[^"]*"|'[^']*'|[^'">])*>""",
+    # Runs are taken whole, so that a long tag needs few regex steps.
+    r"""(?s)</?[A-Za-z](?:[^'">]++|"[^"]*+"|'[^']*+')*+>""",
 ]
 
 EMAIL_ADDRESS = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"

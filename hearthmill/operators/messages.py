@@ -7,13 +7,14 @@ choice, the total and the subject are finished by column expressions.
 from __future__ import annotations
 
 import sys
+from collections.abc import Iterator
 from email import message_from_bytes, policy
 from email.utils import parsedate_to_datetime
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,15 +28,19 @@ _VOID = {
     "spacer", "track", "wbr",
 }
 
-_DECODED = T.StructType(
+_DECODED = pa.schema(
     [
-        T.StructField("message_date", T.StringType()),
-        T.StructField("subject", T.StringType()),
-        T.StructField("plain_parts", T.ArrayType(T.StringType())),
-        T.StructField("html_parts", T.ArrayType(T.StringType())),
-        T.StructField("error", T.StringType()),
+        ("message_date", pa.string()),
+        ("message_subject", pa.string()),
+        ("plain_parts", pa.list_(pa.string())),
+        ("html_parts", pa.list_(pa.string())),
+        ("error", pa.string()),
     ]
 )
+_DECODED_DDL = (
+    "message_date string, message_subject string, plain_parts array<string>, "
+    "html_parts array<string>, error string"
+)
 
 # Workers then need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -129,26 +134,30 @@ def _decode_or_reject(content: bytes) -> tuple:
         return (None, None, None, None, f"{type(problem).__name__}: {problem}")
 
 
-@F.pandas_udf(_DECODED)
-def _decode_messages(contents: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_decode_or_reject(bytes(c)) for c in contents], columns=_DECODED.names)
-
-
-def _body(decoded: Column) -> Column:
-    plain, html = decoded["plain_parts"], decoded["html_parts"]
-    return F.when(F.size(plain) > 0, F.array_join(plain, "\n")).otherwise(F.array_join(html, "\n"))
+def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Replace the last column, the message bytes, by what they decode to."""
+    for batch in batches:
+        decoded = [_decode_or_reject(content.as_py()) for content in batch.columns[-1]]
+        columns = zip(*decoded) if decoded else [[]] * len(_DECODED)
+        arrays = [pa.array(list(c), kind) for c, kind in zip(columns, _DECODED.types, strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns[:-1], *arrays], names=[*batch.schema.names[:-1], *_DECODED.names]
+        )
 
 
 def extract_bills(documents: DataFrame, content: str = "content") -> DataFrame:
     """One bill per message, or its ``error``; other columns pass through."""
-    kept = [name for name in documents.columns if name != content]
-    decoded = documents.select(*kept, _decode_messages(content).alias("_decoded"))
-    message = F.col("_decoded")
-    return decoded.withColumn("_body", F.when(message["error"].isNull(), _body(message))).select(
-        *kept,
-        message["message_date"].alias("date"),
-        text.blank_to_null(message["subject"]).alias("subject"),
-        money.bill_total(F.col("_body")).alias("total_amount"),
-        F.col("_body").alias("raw_body_text"),
-        message["error"].alias("error"),
+    kept = [field for field in documents.schema.fields if field.name != content]
+    names = [field.name for field in kept]
+    schema = T.StructType(kept + T.StructType.fromDDL(_DECODED_DDL).fields)
+    decoded = documents.select(*names, content).mapInArrow(_decode_batches, schema)
+    plain, html = F.col("plain_parts"), F.col("html_parts")
+    body = F.when(F.size(plain) > 0, F.array_join(plain, "\n")).otherwise(F.array_join(html, "\n"))
+    return decoded.withColumn("raw_body_text", F.when(F.col("error").isNull(), body)).select(
+        *names,
+        F.col("message_date").alias("date"),
+        text.blank_to_null(F.col("message_subject")).alias("subject"),
+        money.bill_total(F.col("raw_body_text")).alias("total_amount"),
+        "raw_body_text",
+        "error",
     )

@@ -12,8 +12,9 @@ from hearthmill.operators.telemetry import first_per_key
 
 TIMELY_HOURS = 48
 
-_SLOTS_PER_KEY = 4096
-_COPIES_PER_ROW = 100_000
+_SLOTS_PER_KEY = 1 << 16
+_COPIES_PER_RANGE = 100_000
+_RANGES_PER_DIGEST = 1 << 40
 
 
 def key_uuid(parts: Sequence[Column]) -> Column:
@@ -23,42 +24,31 @@ def key_uuid(parts: Sequence[Column]) -> Column:
     return F.concat_ws("-", *[F.substring(digest, start, size) for start, size in bounds])
 
 
-def _with_copies(groups: DataFrame, first: str, count: str, occurrence: str) -> DataFrame:
-    """Repeat each row ``count`` times, numbered from ``first``."""
-    last = F.col(first) + F.col(count) - 1
-
-    def numbered(rows: DataFrame, start: Column, stop: Column) -> DataFrame:
-        return rows.withColumn(occurrence, F.explode(F.sequence(start, stop)))
-
-    few = numbered(groups.where(F.col(count) <= _COPIES_PER_ROW), F.col(first), last)
-    # A row with very many copies is cut into ranges that are spread first.
-    starts = F.explode(F.sequence(F.col(first), last, F.lit(_COPIES_PER_ROW)))
-    ranges = groups.where(F.col(count) > _COPIES_PER_ROW).withColumn("_start", starts)
-    spread = ranges.repartition("_start", *[c for c in groups.columns if c not in (first, count)])
-    many = numbered(
-        spread, F.col("_start"), F.least(F.col("_start") + (_COPIES_PER_ROW - 1), last)
-    ).drop("_start")
-    return few.unionByName(many).drop(first, count)
-
-
 def number_occurrences(
     df: DataFrame, natural_key: Sequence[str], occurrence: str = "occurrence"
 ) -> DataFrame:
     """Number the rows that share a natural key from 1, by content only.
 
-    Equal rows are counted, not gathered; rows that differ outside the key are
-    ordered by a digest slot and then by their other columns. A repeated
-    ingest of the same rows gives the same numbers.
+    Equal rows are counted, not gathered, and a large count is cut into ranges
+    that go to different slots. Rows that differ outside the key are ordered
+    by a digest and then by their other columns. A repeated ingest of the same
+    rows gives the same numbers.
     """
     rest = [name for name in df.columns if name not in natural_key]
     copies = df.groupBy(*df.columns).agg(F.count("*").alias("_copies"))
-    slot = F.pmod(F.xxhash64(*rest), F.lit(_SLOTS_PER_KEY)) if rest else F.lit(0)
+    digest = F.pmod(F.xxhash64(*rest), F.lit(_SLOTS_PER_KEY)) if rest else F.lit(0)
+    # Ranges of one digest are numbered after each other, so order is kept.
+    starts = F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(_COPIES_PER_RANGE))
+    ranges = (
+        copies.select("*", F.explode(starts).alias("_start"))
+        .withColumn("_copies", F.least(F.col("_copies") - F.col("_start"), F.lit(_COPIES_PER_RANGE)))
+        .withColumn("_slot_number", digest * _RANGES_PER_DIGEST + F.floor(F.col("_start") / _COPIES_PER_RANGE))
+    )
     numbered = running_sums(
-        copies.withColumn("_digest", slot), natural_key, ["_digest"], rest or natural_key,
-        {"_last": F.col("_copies")},
+        ranges, natural_key, ["_slot_number"], [*rest, "_start"], {"_last": F.col("_copies")}
     )
-    first = numbered.withColumn("_first", F.col("_last") - F.col("_copies") + 1)
-    return _with_copies(first.drop("_last", "_digest"), "_first", "_copies", occurrence)
+    first = F.col("_last") - F.col("_copies") + 1
+    return numbered.select(*df.columns, F.explode(F.sequence(first, F.col("_last"))).alias(occurrence))
 
 
 def with_record_key(
@@ -80,7 +70,7 @@ def with_record_key(
 
 
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key, the first by ``order``; copies combine before the shuffle."""
+    """One row per key, the first by ``order``."""
     return first_per_key(df, key, order)
 
 
@@ -119,10 +109,10 @@ def split_errors(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 def apply_rules(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Add ``failed_rules``: names of the rules a row does not meet."""
     checks = [
-        F.when(F.coalesce(rule, F.lit(False)), F.lit(None)).otherwise(F.lit(name))
+        F.when(F.coalesce(rule, F.lit(False)), F.lit("")).otherwise(F.lit(name))
         for name, rule in rules.items()
     ]
-    return df.withColumn("failed_rules", F.array_compact(F.array(*checks)))
+    return df.withColumn("failed_rules", F.array_remove(F.array(*checks), ""))
 
 
 def split_gate(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

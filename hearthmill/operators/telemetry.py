@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthmill.functions import dates, probes, text
@@ -94,10 +94,13 @@ def daemon_observations(documents: DataFrame) -> DataFrame:
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """First row per key, found by aggregation so that no key is gathered."""
-    rest = [name for name in df.columns if name not in keys]
-    first = F.min_by(F.struct(*rest), F.struct(*order))
-    return df.groupBy(*keys).agg(first.alias("_first")).select(*keys, "_first.*").select(*df.columns)
+    """First row per key.
+
+    Spark turns this form into a group limit that runs before the shuffle, so
+    each task sends one row per key and no key is gathered.
+    """
+    in_order = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_row", F.row_number().over(in_order)).where("_row = 1").drop("_row")
 
 
 def with_fallback(

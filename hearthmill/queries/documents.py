@@ -108,10 +108,10 @@ def bill_total_commas(spark, sf_dir):
 
 def _sql_visible_text(html: str) -> str:
     patterns = [
-        ("<!--.*?-->", "gs"),
-        (r"<script\b[^>]*>.*?</script\s*>", "gsi"),
-        (r"<style\b[^>]*>.*?</style\s*>", "gsi"),
-        (r"<template\b[^>]*>.*?</template\s*>", "gsi"),
+        (r"<!--.*?(?:-->|\z)", "gs"),
+        (r"<script\b[^>]*>.*?(?:</script\s*>|\z)", "gsi"),
+        (r"<style\b[^>]*>.*?(?:</style\s*>|\z)", "gsi"),
+        (r"<template\b[^>]*>.*?(?:</template\s*>|\z)", "gsi"),
         ("<[!?][^>]*>", "gs"),
         (r"""</?[A-Za-z](?:"[^"]*"|''[^'']*''|[^''">])*>""", "gs"),
     ]

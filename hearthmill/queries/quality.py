@@ -134,14 +134,8 @@ _FAILED_SQL = "concat_ws(','," + ",".join(f" CASE WHEN {rule} THEN '{rule}' END"
 @query(f"{_CHECKED_SQL} SELECT {_FAILED_SQL} AS failed_rules, count(*) AS n_rows FROM checked GROUP BY 1")
 def validation_gate(spark, sf_dir):
     """Rows per set of failed rules; no failed rule means loaded."""
-    passed, held = quality.split_gate(checked_lines(spark, sf_dir))
-    reasons = held.select(F.concat_ws(",", "failed_rules").alias("failed_rules"))
-    return (
-        passed.select(F.lit("").alias("failed_rules"))
-        .unionByName(reasons)
-        .groupBy("failed_rules")
-        .agg(F.count("*").alias("n_rows"))
-    )
+    reasons = F.concat_ws(",", "failed_rules").alias("failed_rules")
+    return checked_lines(spark, sf_dir).groupBy(reasons).agg(F.count("*").alias("n_rows"))
 
 
 @query(
