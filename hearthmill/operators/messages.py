@@ -7,6 +7,7 @@ choice, the total and the subject are finished by column expressions.
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from collections.abc import Iterator
 from email import message_from_bytes, policy
 from email.utils import parsedate_to_datetime
@@ -51,11 +52,11 @@ class _TextNodes(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.nodes, self.pending, self.open = [], [], []
+        self.nodes, self.pending, self.open, self.depth = [], [], [], Counter()
 
     def flush(self):
         node = "".join(self.pending).strip()
-        if node and not _HIDDEN.intersection(self.open):
+        if node and not any(self.depth[tag] for tag in _HIDDEN):
             self.nodes.append(node)
         self.pending = []
 
@@ -66,15 +67,17 @@ class _TextNodes(HTMLParser):
         self.flush()
         if tag not in _VOID:
             self.open.append(tag)
+            self.depth[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.flush()
 
     def handle_endtag(self, tag):
         self.flush()
-        if tag in self.open:
-            while self.open.pop() != tag:
-                pass
+        closed = None
+        while self.depth[tag] and closed != tag:
+            closed = self.open.pop()
+            self.depth[closed] -= 1
 
     def handle_comment(self, data):
         self.flush()
@@ -90,13 +93,18 @@ def visible_text(html: str) -> str:
     return "\n".join(parser.nodes)
 
 
+def _clean(decoded: str) -> str:
+    """Text that UTF-8 can hold: half characters become question marks."""
+    return decoded.encode("utf-8", errors="replace").decode("utf-8")
+
+
 def _part_text(part) -> str:
     payload = part.get_payload(decode=True)
     if payload is None:
         raw = part.get_payload()
-        return raw if isinstance(raw, str) else ""
+        return _clean(raw) if isinstance(raw, str) else ""
     try:
-        return payload.decode(part.get_content_charset() or "utf-8", errors="replace")
+        return _clean(payload.decode(part.get_content_charset() or "utf-8", errors="replace"))
     except LookupError:
         return payload.decode("utf-8", errors="replace")
 
@@ -115,12 +123,12 @@ def _decode(content: bytes) -> tuple:
     leaves = [part for part in message.walk() if not part.is_multipart()]
     plain = [_part_text(part) for part in leaves if part.get_content_type() == "text/plain"]
     html = [] if plain else [
-        visible_text(_part_text(part)) for part in leaves if part.get_content_type() == "text/html"
+        _clean(visible_text(_part_text(part))) for part in leaves if part.get_content_type() == "text/html"
     ]
     subject = message.get("Subject")
     return (
         _iso_date(message.get("Date")),
-        None if subject is None else str(subject),
+        None if subject is None else _clean(str(subject)),
         plain,
         html,
         None,
