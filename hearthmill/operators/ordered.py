@@ -1,60 +1,53 @@
-"""Ordered computations that stay spread out when one key holds most rows.
+"""Ordered sums that stay spread out when one key holds most rows.
 
 A plain window puts all rows of a key into one task. Here a key is cut into
-slots by order-preserving level columns. Each slot is summed by ordinary
-aggregation, the slot totals are accumulated level by level, and rows are
-accumulated within their own slot only.
+slots by order-preserving level columns. Slot totals come from an ordinary
+aggregation, are accumulated level by level, and enter each slot as a carry
+row ahead of its own rows. Carry rows travel in the shuffle that brings the
+slot's rows together, so nothing is joined and null keys need no care.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_BEFORE = (Window.unboundedPreceding, -1)
-_UP_TO = (Window.unboundedPreceding, Window.currentRow)
+_CARRY, _ROW = 0, 1
 
 
-def _slot(keys: Sequence[str], levels: Sequence[str]) -> Column:
-    # A struct compares null parts as equal, so null keys keep their rows.
-    return F.struct(*[F.col(name) for name in [*keys, *levels]])
+def _with_carries(rows: DataFrame, carries: DataFrame | None) -> DataFrame:
+    marked = rows.withColumn("_kind", F.lit(_ROW))
+    if carries is None:
+        return marked
+    return marked.unionByName(
+        carries.withColumn("_kind", F.lit(_CARRY)), allowMissingColumns=True
+    )
 
 
-def _slot_offsets(
+def _slot_carries(
     df: DataFrame, keys: list[str], levels: list[str], names: list[str]
 ) -> DataFrame:
-    """Sum of everything before each slot, as ``_slot`` plus ``names``."""
-    totals = {len(levels): df.groupBy(*keys, *levels).agg(*[F.sum(n).alias(n) for n in names])}
-    for depth in range(len(levels) - 1, 0, -1):
-        totals[depth] = (
-            totals[depth + 1].groupBy(*keys, *levels[:depth]).agg(*[F.sum(n).alias(n) for n in names])
-        )
+    """Sum of everything before each slot, as one row per slot."""
 
-    def at_depth(depth: int) -> DataFrame:
-        outer, level = [*keys, *levels[: depth - 1]], levels[depth - 1]
-        before = Window.partitionBy(*outer).orderBy(level).rowsBetween(*_BEFORE)
-        return totals[depth].select(
-            *outer,
-            level,
-            _slot(keys, levels[: depth - 1]).alias("_outer"),
-            *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(n) for n in names],
-        )
+    def total(rows: DataFrame, depth: int) -> DataFrame:
+        return rows.groupBy(*keys, *levels[:depth]).agg(*[F.sum(n).alias(n) for n in names])
 
-    def deepen(carried: DataFrame | None, depth: int) -> DataFrame:
-        here = at_depth(depth)
-        if carried is not None:
-            outer = carried.select(
-                F.col("_slot").alias("_outer"), *[F.col(n).alias(f"_carried_{n}") for n in names]
-            )
-            here = here.join(outer, "_outer")
-            for n in names:
-                here = here.withColumn(n, F.col(n) + F.col(f"_carried_{n}"))
-        return here.select(_slot(keys, levels[:depth]).alias("_slot"), *names)
-
-    return reduce(deepen, range(1, len(levels) + 1), None)
+    finest = total(df, len(levels))
+    carries = None
+    for depth in range(1, len(levels) + 1):
+        slots = finest if depth == len(levels) else total(finest, depth)
+        before = (
+            Window.partitionBy(*keys, *levels[: depth - 1])
+            .orderBy("_kind", levels[depth - 1])
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        accumulated = {n: F.coalesce(F.sum(n).over(before), F.lit(0)) for n in names}
+        carries = (
+            _with_carries(slots, carries).withColumns(accumulated).where(F.col("_kind") == _ROW)
+        ).drop("_kind")
+    return carries
 
 
 def running_sums(
@@ -73,14 +66,14 @@ def running_sums(
     """
     keys, levels, names = list(keys), list(levels), list(sums)
     measured = df.withColumns(dict(sums))
-    offsets = _slot_offsets(measured, keys, levels, names)
-    within = Window.partitionBy("_slot").orderBy(*order).rowsBetween(*_UP_TO)
-    rows = measured.withColumn("_slot", _slot(keys, levels)).withColumns(
-        {n: F.sum(n).over(within) for n in names}
+    in_slot = (
+        Window.partitionBy(*keys, *levels)
+        .orderBy("_kind", *order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    carried = offsets.select("_slot", *[F.col(n).alias(f"_before_{n}") for n in names])
     return (
-        rows.join(carried, "_slot")
-        .withColumns({n: F.col(n) + F.col(f"_before_{n}") for n in names})
-        .drop("_slot", *[f"_before_{n}" for n in names])
+        _with_carries(measured, _slot_carries(measured, keys, levels, names))
+        .withColumns({n: F.sum(n).over(in_slot) for n in names})
+        .where(F.col("_kind") == _ROW)
+        .drop("_kind")
     )

@@ -39,8 +39,11 @@ def append_new(df: DataFrame, path: str, date: str, key: str) -> None:
         loaded = spark.read.parquet(path)
     except AnalysisException:
         loaded = None
-    new = df if loaded is None else quality.not_loaded(df, loaded, [key])
-    sinks.write_monthly(new, path, date)
+    if loaded is not None:
+        # The key fixes the month, so only the batch's own months are read.
+        months = [row[0] for row in df.select(sinks.month_of(date)).distinct().collect()]
+        df = quality.not_loaded(df, loaded.where(F.col("month").isin(months)), [key])
+    sinks.write_monthly(df, path, date)
 
 
 def ledger_entries(ledger: DataFrame) -> DataFrame:

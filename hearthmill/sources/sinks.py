@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthmill.schemas import BILL_COLUMNS
@@ -19,7 +19,7 @@ def stage_bills_csv(bills: DataFrame, path: str) -> None:
     )
 
 
-def read_staged_bills(spark, path: str) -> DataFrame:
+def read_staged_bills(spark: SparkSession, path: str) -> DataFrame:
     return (
         spark.read.schema("date string, subject string, total_amount double, raw_body_text string")
         .option("header", True)
@@ -29,15 +29,18 @@ def read_staged_bills(spark, path: str) -> DataFrame:
     )
 
 
+def month_of(date: str) -> Column:
+    return F.coalesce(F.date_format(date, "yyyy-MM"), F.lit("undated"))
+
+
 def write_monthly(df: DataFrame, path: str, date: str, mode: str = "append") -> None:
     """Parquet table partitioned by month.
 
     The rebalance hint gathers a month's rows into few files and lets adaptive
     execution split a month too large for one task.
     """
-    month = F.date_format(date, "yyyy-MM")
     (
-        df.withColumn("month", F.coalesce(month, F.lit("undated")))
+        df.withColumn("month", month_of(date))
         .hint("rebalance", "month")
         .write.mode(mode)
         .partitionBy("month")

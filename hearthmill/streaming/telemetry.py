@@ -62,6 +62,11 @@ def outage_stream(
     samples: DataFrame, component: Sequence[str], good: Column, timestamp: str, gap: str = "30 minutes"
 ) -> DataFrame:
     """Bad samples of a component at most ``gap`` apart, as one session."""
+    # Sessions of a task are merged before the shuffle, which spreads a component
+    # that sends most of the samples.
+    samples.sparkSession.conf.set(
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true"
+    )
     return (
         samples.where(~good)
         .groupBy(*component, F.session_window(timestamp, gap).alias("_outage"))

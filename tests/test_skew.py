@@ -51,7 +51,9 @@ def test_running_balance(spark, rows):
 
 
 @pytest.mark.parametrize("column", ["x", "cents"])
-def test_grouped_median(frame, rows, column):
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_grouped_median(frame, rows, column, broadcast_rows, monkeypatch):
+    monkeypatch.setattr(medians, "_BROADCAST_ROWS", broadcast_rows)
     place = {"x": 4, "cents": 3}[column]
     groups = defaultdict(list)
     for row in rows:
