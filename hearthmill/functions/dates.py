@@ -51,10 +51,15 @@ def message_date(header: Column) -> Column:
 
 
 def utc_text(timestamp: Column) -> Column:
-    """``2026-09-23T22:00:00Z`` form of a timestamp (session zone UTC)."""
+    """``2026-09-23T22:00:00Z`` form of a timestamp; the session zone is UTC."""
     return F.date_format(timestamp, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
+def collected_at() -> Column:
+    """Current UTC time to the second, in the text form of a sample."""
+    return utc_text(F.current_timestamp())
+
+
 def month_index(date: Column) -> Column:
     """Months since year 0, so that calendar gaps are plain differences."""
     return F.year(date) * 12 + F.month(date) - 1

@@ -19,10 +19,14 @@ def ping_status(transcript: Column) -> Column:
 
 
 def running_containers(document: Column) -> Column:
-    """Containers running according to the daemon's document, 0 by default."""
-    parsed = F.try_parse_json(document)
-    return F.coalesce(F.try_variant_get(parsed, "$.ContainersRunning", "int"), F.lit(0))
-
+    """Containers running according to the daemon's document.
 
-def is_json(document: Column) -> Column:
-    return F.try_parse_json(document).isNotNull()
+    A document without the figure counts as 0; null means that the document is
+    no JSON object or that its figure is no whole number.
+    """
+    parsed = F.try_parse_json(document)
+    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
+    stated = F.try_variant_get(parsed, "$.ContainersRunning", "variant").isNotNull()
+    return F.when(is_object & ~stated, F.lit(0)).when(
+        is_object, F.try_variant_get(parsed, "$.ContainersRunning", "int")
+    )

@@ -34,6 +34,9 @@ def require_columns(df: DataFrame, required: Sequence[str]) -> None:
     missing = [name for name in required if name not in df.columns]
     if missing:
         raise LayoutError(f"statement lacks columns: {missing}")
+    repeated = [name for name in required if df.columns.count(name) > 1]
+    if repeated:
+        raise LayoutError(f"statement repeats columns: {repeated}")
 
 
 def map_headers(df: DataFrame, mapping: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:

@@ -81,16 +81,16 @@ def ping_observations(transcripts: DataFrame) -> DataFrame:
 
 
 def daemon_observations(documents: DataFrame) -> DataFrame:
-    """Daemon documents of ``(timestamp, raw_payload)`` rows."""
-    payload = F.col("raw_payload")
-    return documents.where(probes.is_json(payload)).withColumns(
+    """Readable daemon documents of ``(timestamp, raw_payload)`` rows."""
+    running = probes.running_containers(F.col("raw_payload")).cast("double")
+    return documents.withColumns(
         {
             "source_component": F.lit("docker_stats"),
             "metric_name": F.lit("active_containers"),
-            "metric_value": probes.running_containers(payload).cast("double"),
+            "metric_value": running,
             "status": F.lit("HEALTHY"),
         }
-    )
+    ).where("metric_value is not null")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -22,11 +22,11 @@ _NEVER = "\x00"
 
 
 def sniff_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """First line of every file as ``source_file``, ``header``."""
+    """First line that is not blank of every file, as ``source_file``, ``header``."""
     lines = (
         spark.read.text(paths)
         .select("value", F.col("_metadata.file_path").alias(FILE_COLUMN), "_metadata.file_block_start")
-        .where("file_block_start = 0")
+        .where("file_block_start = 0 and trim(value) <> ''")
         .withColumn("line", F.monotonically_increasing_id())
     )
     return lines.groupBy(FILE_COLUMN).agg(
@@ -35,7 +35,15 @@ def sniff_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 
 def header_columns(header: str) -> list[str]:
-    return [name.strip() for name in next(csv.reader([header]))]
+    """Column names of a header line; blank and repeated names get a number."""
+    seen: dict[str, int] = defaultdict(int)
+    names = []
+    for place, cell in enumerate(next(csv.reader([header]))):
+        name = cell.strip() or f"Unnamed: {place}"
+        repeats = seen[name.lower()]
+        seen[name.lower()] += 1
+        names.append(f"{name}.{repeats}" if repeats else name)
+    return names
 
 
 def _literal_path(uri: str) -> str:

@@ -23,6 +23,14 @@ from hearthmill.sources.shared import fresh_path
 WATERMARK = f"{TIMELY_HOURS} hours"
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
+# 48 hours of keys do not fit in memory; state is kept on disk and only its
+# changes go to the progress folder.
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 _SPREAD = 16
 
 
@@ -126,6 +134,8 @@ def run_to_table(
     In complete mode the newest batch holds the whole result.
     """
     spark = result.sparkSession
+    for setting, value in STATE_CONF.items():
+        spark.conf.set(setting, value)
     out = fresh_path(spark, label)
     nothing = per_batch(spark.createDataFrame([], result.schema))
     nothing.write.parquet(f"{out}/batch=-1")

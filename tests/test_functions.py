@@ -107,9 +107,17 @@ def test_ping(values):
 
 
 def test_daemon_document(values):
-    cells = ['{"ContainersRunning": 4}', '{"running": 4}', "{}", "broken"]
-    assert values(probes.running_containers, cells) == [4, 0, 0, 0]
-    assert values(probes.is_json, cells) == [True, True, True, False]
+    cells = {
+        '{"ContainersRunning": 4}': 4, '{"running": 4}': 0, "{}": 0, "broken": None, "[1]": None,
+        '{"ContainersRunning": "7"}': 7, '{"ContainersRunning": "x"}': None, '{"ContainersRunning": null}': None,
+    }
+    assert values(probes.running_containers, cells) == list(cells.values())
+
+
+def test_collection_time(spark):
+    now = datetime.datetime.now(datetime.UTC).replace(microsecond=0, tzinfo=None)
+    stamp = spark.range(1).select(dates.collected_at()).first()[0]
+    assert abs(datetime.datetime.strptime(stamp, "%Y-%m-%dT%H:%M:%SZ") - now) < datetime.timedelta(minutes=1)
 
 
 def test_personal_data(values):

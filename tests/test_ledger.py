@@ -113,5 +113,17 @@ def test_pending_rows_are_counted(spark, folder):
     assert counts.get == {"pending_rows": 1}
 
 
+def test_blank_lines_and_repeated_or_blank_headers(spark, folder):
+    assert statements.header_columns('A, a ,,"x,y",A') == ["A", "a.1", "Unnamed: 2", "x,y", "A.2"]
+    path = folder("a_1111.csv", "", "Date,Sub-description,Amount,Amount,", "2026-01-01,x,1,2,", "", "2026-01-02,y,3,4,")
+    assert amounts(ledger.read_ledger(spark, path)) == [1.0, 3.0]
+
+
+def test_repeated_required_column_is_kept_aside(spark, folder):
+    path = folder("a.csv", SPLIT_HEADER.replace('"Check"', '"Check","post_date"'), '"1","2026-01-01","","2026-01-02","d","1","","ok"')
+    (row,) = ledger.read_ledger(spark, path).collect()
+    assert "repeats" in row["error"] and "2026-01-02" in row["record"]
+
+
 def test_header_only_file_gives_no_rows(spark, folder):
     assert ledger.read_ledger(spark, folder("a.csv", SPLIT_HEADER)).count() == 0
