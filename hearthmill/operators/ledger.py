@@ -17,7 +17,13 @@ from hearthmill.schemas import (
     SIGNED_LEDGER_MARKER,
     SPLIT_LEDGER_REQUIRED,
 )
-from hearthmill.sources.statements import BROKEN_COLUMN, FILE_COLUMN, read_statements
+from hearthmill.sources.statements import (
+    BROKEN_COLUMN,
+    FILE_COLUMN,
+    files_by_header,
+    read_layout,
+    read_lines,
+)
 
 PROVENANCE_COLUMNS = [FILE_COLUMN, "received_ts"]
 
@@ -30,18 +36,18 @@ def snake_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[text.snake_case(name) for name in df.columns])
 
 
-def require_columns(df: DataFrame, required: Sequence[str]) -> None:
-    missing = [name for name in required if name not in df.columns]
+def _require(columns: Sequence[str], required: Sequence[str]) -> None:
+    missing = [name for name in required if name not in columns]
     if missing:
         raise LayoutError(f"statement lacks columns: {missing}")
-    repeated = [name for name in required if df.columns.count(name) > 1]
+    repeated = [name for name in required if columns.count(name) > 1]
     if repeated:
         raise LayoutError(f"statement repeats columns: {repeated}")
 
 
 def map_headers(df: DataFrame, mapping: Mapping[str, str], keep: Sequence[str] = ()) -> DataFrame:
     """Rename the mapped columns and drop the rest; ``keep`` passes through."""
-    require_columns(df, list(mapping))
+    _require(df.columns, list(mapping))
     mapped = [F.col(f"`{header}`").alias(name) for header, name in mapping.items()]
     return df.select(*mapped, *[name for name in keep if name in df.columns])
 
@@ -72,7 +78,7 @@ def _finished(df: DataFrame) -> DataFrame:
 def normalize_split(df: DataFrame, counts: Observation | None = None) -> DataFrame:
     """Debit/credit layout to ledger rows, settled rows only."""
     rows = snake_headers(df)
-    require_columns(rows, SPLIT_LEDGER_REQUIRED)
+    _require(rows.columns, SPLIT_LEDGER_REQUIRED)
     debit, credit = F.col("debit"), F.col("credit")
     amount = money.net_amount(debit, credit)
     readable = ~(money.unsigned_unreadable(debit) | money.unsigned_unreadable(credit))
@@ -108,13 +114,23 @@ def normalize_signed(df: DataFrame, file_name: str = FILE_COLUMN) -> DataFrame:
     )
 
 
-def normalize_layout(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Choose the layout by its header."""
-    return normalize_signed(df) if SIGNED_LEDGER_MARKER in columns else normalize_split(df)
+def is_signed(columns: Sequence[str]) -> bool:
+    return SIGNED_LEDGER_MARKER in columns
+
+
+def has_known_layout(columns: Sequence[str]) -> bool:
+    try:
+        if is_signed(columns):
+            _require(list(columns), list(SIGNED_LEDGER_HEADERS))
+        else:
+            _require([text.snake_case(name) for name in columns], SPLIT_LEDGER_REQUIRED)
+    except LayoutError:
+        return False
+    return True
 
 
-def _rejected(rows: DataFrame, record: Column, error: Column) -> DataFrame:
-    return rows.select(*PROVENANCE_COLUMNS, record.alias("record"), error.alias("error"))
+def _rejected(rows: DataFrame, record: str, error: str) -> DataFrame:
+    return rows.select(*PROVENANCE_COLUMNS, F.col(record).alias("record"), F.lit(error).alias("error"))
 
 
 def read_ledger(
@@ -122,26 +138,27 @@ def read_ledger(
 ) -> DataFrame:
     """Statements of any known layout as ledger rows, or rows with an ``error``.
 
-    A row that does not fit its header, and every row of a file with an
-    unknown layout, keeps its text in ``record``. Each file is scanned once
-    for its header and once for its rows.
+    A row that does not fit its header, and every line of a file with an
+    unknown layout, is kept in ``record``. Each file is scanned once for its
+    header and once for its rows.
     """
-    parts = []
-    for columns, rows in read_statements(spark, paths, multi_line).items():
+    parts, unknown = [], []
+    for columns, files in files_by_header(spark, paths).items():
+        if not has_known_layout(columns):
+            unknown += files
+            continue
+        rows = read_layout(spark, files, columns, multi_line)
         broken = F.col(BROKEN_COLUMN).isNotNull()
-        try:
-            good = normalize_layout(rows.where(~broken).drop(BROKEN_COLUMN), columns)
-            bad = _rejected(rows.where(broken), F.col(BROKEN_COLUMN), F.lit("more cells than the header"))
-            parts += [good, bad]
-        except LayoutError as problem:
-            cells = F.to_json(F.struct(*[F.col(f"`{name}`") for name in columns]))
-            parts.append(_rejected(rows, F.coalesce(BROKEN_COLUMN, cells), F.lit(str(problem))))
+        whole = rows.where(~broken).drop(BROKEN_COLUMN)
+        parts.append(normalize_signed(whole) if is_signed(columns) else normalize_split(whole))
+        parts.append(_rejected(rows.where(broken), BROKEN_COLUMN, "more cells than the header"))
+    if unknown:
+        parts.append(_rejected(read_lines(spark, sorted(unknown)), "record", "unknown layout"))
 
     def combine(left: DataFrame, right: DataFrame) -> DataFrame:
         return left.unionByName(right, allowMissingColumns=True)
 
-    nothing = spark.createDataFrame([], LEDGER_ROW)
-    return reduce(combine, parts, nothing)
+    return reduce(combine, parts, spark.createDataFrame([], LEDGER_ROW))
 
 
 def canonical(ledger: DataFrame) -> DataFrame:

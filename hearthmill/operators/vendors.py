@@ -68,8 +68,8 @@ def vendor_category(vendor: Column, categories: Mapping[str, str] = DEFAULT_CATE
 def join_categories(df: DataFrame, categories: DataFrame, vendor: str = "vendor_normalized") -> DataFrame:
     """Category from a table (``vendor``, ``category``) of any size.
 
-    No broadcast is forced: Spark broadcasts the table if it is small and
+    A vendor listed twice takes its first category by name. No broadcast is forced: Spark broadcasts the table if it is small and
     splits a vendor that holds too many rows if it is not.
     """
-    lookup = categories.select(F.col("vendor").alias(vendor), "category")
+    lookup = categories.groupBy(F.col("vendor").alias(vendor)).agg(F.min("category").alias("category"))
     return df.join(lookup, vendor, "left").fillna(UNCATEGORIZED, ["category"])

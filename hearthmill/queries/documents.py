@@ -10,6 +10,7 @@ from hearthmill.operators.messages import extract_bills
 from hearthmill.operators.quality import split_errors
 from hearthmill.operators.receipts import extract_receipts
 from hearthmill.queries.registry import query, table
+from hearthmill.sources.documents import read_documents
 from hearthmill.sources.shared import fresh_path
 from hearthmill.sources.sinks import read_staged_bills, stage_bills_csv
 
@@ -199,6 +200,22 @@ def email_extract(spark, sf_dir):
     )
 
 
+@query(_MESSAGE_SQL)
+def email_corpus_scan(spark, sf_dir):
+    """The same messages as one file each: discovery, scan and extraction."""
+    folder = fresh_path(spark, "inbox")
+    page_messages(spark, sf_dir).select("page_id", F.decode("content", "utf-8").alias("value")).write.partitionBy(
+        "page_id"
+    ).text(folder)
+    page = F.regexp_extract("path", r"page_id=(\d+)", 1).cast("bigint")
+    plain = page % _TEXT_MAIL == 0
+    return extract_bills(read_documents(spark, f"{folder}/*", "*.txt")).select(
+        page.alias("page_id"), "date", "subject", "total_amount",
+        F.when(~plain, F.col("raw_body_text")).alias("html_text"),
+        F.col("error").isNotNull().alias("rejected"),
+    )
+
+
 @query(
     f"""
 WITH found AS ({_MESSAGE_SQL})

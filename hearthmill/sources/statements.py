@@ -84,23 +84,27 @@ def read_layout(
     )
 
 
-def read_statements(
-    spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True
-) -> dict[tuple[str, ...], DataFrame]:
-    """One scan per distinct header, keyed by that header's columns.
-
-    Reading files with different headers in one scan would put values under
-    the wrong names. Only file names and headers reach the driver, which
-    lists those files for the scan anyway.
+def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Lines of files as they are, as ``record``."""
+    return spark.read.text(paths).select(
+        F.col("value").alias("record"),
+        F.col("_metadata.file_path").alias(FILE_COLUMN),
+        F.col("_metadata.file_modification_time").alias("received_ts"),
+    )
+
+
+def files_by_header(
+    spark: SparkSession, paths: str | Sequence[str]
+) -> dict[tuple[str, ...], list[str]]:
+    """Files grouped by their exact header, because one scan of files with
+    different headers would put values under the wrong names.
+
+    Only file names and headers reach the driver, which lists those files for
+    the scan anyway.
     """
-    files_by_header: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for row in sniff_headers(spark, paths).toLocalIterator():
-        files_by_header[tuple(header_columns(row["header"]))].append(
-            _literal_path(row[FILE_COLUMN])
-        )
-    if not files_by_header:
+        groups[tuple(header_columns(row["header"]))].append(_literal_path(row[FILE_COLUMN]))
+    if not groups:
         raise FileNotFoundError(f"no statement with a header under {paths}")
-    return {
-        columns: read_layout(spark, sorted(files), columns, multi_line)
-        for columns, files in sorted(files_by_header.items())
-    }
+    return {columns: sorted(files) for columns, files in sorted(groups.items())}
