@@ -13,6 +13,7 @@ _COMPACT_DATE = r"^\d{8}$"
 
 # Fixed value: year-first date on a receipt once "_" and "/" read as "-".
 _RECEIPT_DATE = r"\d{4}-\d{1,2}-\d{1,2}"
+_ONE_DIGIT_PART = r"-(\d)(?!\d)"
 _POSSIBLE_DATE = r"-(0?[1-9]|1[0-2])-(0?[1-9]|[12]\d|3[01])$"
 
 _MESSAGE_DATE = r"(\d{1,2} [A-Za-z]{3} \d{4})"
@@ -33,10 +34,7 @@ def receipt_date_text(text: Column) -> Column:
     dashed = F.translate(text, "_/", "--")
     candidates = F.regexp_extract_all(dashed, F.lit(_RECEIPT_DATE), F.lit(0))
     first = F.get(F.filter(candidates, lambda date: date.rlike(_POSSIBLE_DATE)), F.lit(0))
-    year, month, day = [F.get(F.split(first, "-"), F.lit(place)) for place in range(3)]
-    return F.when(
-        first.isNotNull(), F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0"))
-    )
+    return F.regexp_replace(first, _ONE_DIGIT_PART, "-0$1")
 
 
 def receipt_date(date_text: Column) -> Column:

@@ -200,16 +200,22 @@ def email_extract(spark, sf_dir):
     )
 
 
-@query(_MESSAGE_SQL)
+@query(
+    f"""
+WITH found AS ({_MESSAGE_SQL})
+SELECT CASE WHEN NOT rejected THEN page_id END AS page_id, date, subject, total_amount, html_text, rejected
+FROM found
+"""
+)
 def email_corpus_scan(spark, sf_dir):
     """The same messages as one file each: discovery, scan and extraction."""
     folder = fresh_path(spark, "inbox")
-    page_messages(spark, sf_dir).select("page_id", F.decode("content", "utf-8").alias("value")).write.partitionBy(
-        "page_id"
-    ).text(folder)
-    page = F.regexp_extract("path", r"page_id=(\d+)", 1).cast("bigint")
+    mails = page_messages(spark, sf_dir).select("page_id", F.decode("content", "utf-8").alias("value"))
+    # One file per message: creating the files is the work, so it is spread.
+    mails.repartition(64, "page_id").select("value").write.option("maxRecordsPerFile", 1).text(folder)
+    page = F.regexp_extract("subject", r"(\d+)$", 1).try_cast("bigint")
     plain = page % _TEXT_MAIL == 0
-    return extract_bills(read_documents(spark, f"{folder}/*", "*.txt")).select(
+    return extract_bills(read_documents(spark, folder, "*.txt")).select(
         page.alias("page_id"), "date", "subject", "total_amount",
         F.when(~plain, F.col("raw_body_text")).alias("html_text"),
         F.col("error").isNotNull().alias("rejected"),

@@ -127,15 +127,15 @@ def run_to_table(
     mode: str,
     label: str,
     per_batch: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+    state_partitions: int | None = None,
 ) -> tuple[DataFrame, StreamingQuery]:
     """Process what is available; return what was written, and the query.
 
     Each batch overwrites its own folder, so a repeated batch leaves one copy.
-    In complete mode the newest batch holds the whole result.
+    In complete mode the newest batch holds the whole result. State is spread
+    over ``state_partitions``, by default one per core of the cluster.
     """
     spark = result.sparkSession
-    for setting, value in STATE_CONF.items():
-        spark.conf.set(setting, value)
     out = fresh_path(spark, label)
     nothing = per_batch(spark.createDataFrame([], result.schema))
     nothing.write.parquet(f"{out}/batch=-1")
@@ -143,6 +143,12 @@ def run_to_table(
     def write(batch: DataFrame, batch_id: int) -> None:
         per_batch(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
+    # A query keeps the settings and the number of state partitions it starts with.
+    partitions = str(state_partitions or spark.sparkContext.defaultParallelism)
+    wanted = {**STATE_CONF, "spark.sql.shuffle.partitions": partitions}
+    earlier = {setting: spark.conf.get(setting, None) for setting in wanted}
+    for setting, value in wanted.items():
+        spark.conf.set(setting, value)
     query = (
         result.writeStream.outputMode(mode)
         .option("checkpointLocation", fresh_path(spark, f"{label}-progress"))
@@ -150,6 +156,8 @@ def run_to_table(
         .foreachBatch(write)
         .start()
     )
+    for setting, value in earlier.items():
+        spark.conf.unset(setting) if value is None else spark.conf.set(setting, value)
     query.awaitTermination()
     schema = T.StructType([*nothing.schema.fields, T.StructField("batch", T.LongType())])
     written = spark.read.schema(schema).parquet(out)
