@@ -8,7 +8,7 @@ from collections import defaultdict
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +46,11 @@ def header_columns(header: str) -> list[str]:
     return names
 
 
+def cell_count(row: Column) -> Column:
+    """Cells of a row's text: separators outside quotes, plus one."""
+    return F.size(F.split(F.regexp_replace(row, '"[^"]*"', ""), ","))
+
+
 def _literal_path(uri: str) -> str:
     """A listed file's URI as a path that globbing leaves alone."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
@@ -71,11 +76,17 @@ def read_layout(
         .option("emptyValue", "")
         .option("nullValue", _NEVER)
         .option("columnNameOfCorruptRecord", BROKEN_COLUMN)
+        # Unread columns would hide that a row has too many.
+        .option("columnPruning", False)
         .csv(paths)
     )
     cells = [F.coalesce(F.col(f"`{name}`"), F.lit("")).alias(name) for name in columns]
-    # A short row is padded; a row longer than the header cannot be placed.
-    too_long = F.col(BROKEN_COLUMN).isNotNull() & F.col(f"`{columns[-1]}`").isNotNull()
+    # A short row is padded; a row longer than the header cannot be placed. Of
+    # the rows that do not fit, a short one has nothing in the last column.
+    last_is_filled = F.coalesce(F.col(f"`{columns[-1]}`"), F.lit("")) != ""
+    too_long = F.col(BROKEN_COLUMN).isNotNull() & (
+        last_is_filled | (cell_count(F.col(BROKEN_COLUMN)) > len(columns))
+    )
     return rows.select(
         *cells,
         F.when(too_long, F.col(BROKEN_COLUMN)).alias(BROKEN_COLUMN),

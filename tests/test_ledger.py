@@ -83,6 +83,24 @@ def test_short_long_and_multi_line_rows(spark, folder):
     assert "extra" in bad["record"] and bad["error"] == "more cells than the header"
 
 
+def test_long_rows_of_a_layout_with_dropped_columns(spark, folder):
+    path = folder(
+        "x_1234.csv", "Date,Sub-description,Amount,Memo,Tail",
+        "2026-01-01,fits,1.00,m,t", "2026-01-02,short,2.00", '2026-01-03,"q, ""uoted""",3.00,m,""',
+        "2026-01-04,long,4.00,m,,x", "2026-01-05,long,5.00,m,t,", '2026-01-06,long,6.00,"m,",t,y',
+    )
+    rows, rejected = split_errors(ledger.read_ledger(spark, path))
+    assert amounts(rows) == [1.0, 2.0, 3.0]
+    assert sorted(r["record"][:10] for r in rejected.collect()) == ["2026-01-04", "2026-01-05", "2026-01-06"]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_scan_modes_agree(spark, folder, multi_line):
+    path = folder("a.csv", SPLIT_HEADER, *SPLIT_ROWS, '"1","2026-01-01","","long","3.00","","ok","extra"')
+    rows, rejected = split_errors(ledger.read_ledger(spark, path, multi_line))
+    assert len(amounts(rows)) == 5 and rejected.count() == 1
+
+
 def test_unknown_layout_is_kept_aside(spark, folder, tmp_path):
     folder("a.csv", SPLIT_HEADER, *SPLIT_ROWS)
     folder("b.csv", "Foo,Bar", "1,2", "3,4")
