@@ -11,6 +11,7 @@ WHITESPACE = (
     "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
+# Account masks.
 MASK_PREFIX = "XXXX-"
 MASK_UNKNOWN = "XXXX-REDACTED"
 

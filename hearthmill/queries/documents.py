@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthmill.functions import dates, money, text
@@ -100,7 +100,7 @@ def bill_total_commas(spark, sf_dir):
     due = F.when(price < 500000, price).otherwise(price * 3)
     bill = F.concat(
         F.lit("Prior balance 0.01\nLine "), F.format_number(price / 10, 2),
-        F.lit("\nTotal amount due now*: $"), F.format_number(due, 2), F.lit("."),
+        F.lit("\nPlease pay $"), F.format_number(due, 2), F.lit("."),
     )
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", money.bill_total(bill).alias("total_amount")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+# Column names, their order, and the words that name a layout, a
+# status, a probe or a metric.
 LEDGER_COLUMNS = ["account_number", "post_date", "check", "description", "amount", "status"]
 
 # Kept beside the canonical columns so that a defaulted value stays visible.

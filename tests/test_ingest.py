@@ -20,7 +20,7 @@ def test_statements_are_loaded_once(spark, tmp_path):
     # Five settled rows, one of them bought twice in one file, and one from the other layout.
     assert loaded.count() == 7
     assert loaded.select("transaction_id").distinct().count() == 7
-    assert {r["month"] for r in loaded.select("month").distinct().collect()} == {"2026-09", "2026-01"}
+    assert {r["month"] for r in loaded.select("month").distinct().collect()} == {"2026-03", "2026-01"}
     held = decided.quarantine.collect()
     assert [sorted(r["failed_rules"]) for r in held] == [["amount_ok", "date_ok"]]
     summary = {r["rule"]: (r["n_rows"], r["n_failed"]) for r in decided.summary.collect()}
@@ -42,7 +42,7 @@ def test_messages_are_staged_and_loaded(spark, tmp_path):
     assert bills.count() == 3 and "raw_body_text" not in bills.columns
     assert any("[NUMBER]" in r["safe_text"] for r in bills.collect())
     raw = spark.read.parquet(f"{table}/bills_raw")
-    assert raw.count() == 3 and any("99998888" in r["raw_body_text"] for r in raw.collect())
+    assert raw.count() == 3 and any("77776666" in r["raw_body_text"] for r in raw.collect())
     assert spark.read.parquet(f"{table}/bills_quarantine").select("path").distinct().count() == 1
 
 
@@ -57,13 +57,13 @@ def test_receipts_keep_their_text(spark, tmp_path):
 
 
 def test_telemetry_run_degrades_per_probe(spark, tmp_path):
-    newer = {**DAEMON, "timestamp": "2026-09-24T00:00:00Z", "active_containers": 6}
+    newer = {**DAEMON, "timestamp": "2026-03-24T00:00:00Z", "active_containers": 6}
     (tmp_path / "live.jsonl").write_text("\n".join([json.dumps(DAEMON), json.dumps(newer), "{oops"]))
     (tmp_path / "fixture.json").write_text(json.dumps([PING, {**PING, "latency_ms": 9}, DAEMON, {"telemetry_type": "x"}]))
     table = str(tmp_path / "out")
     observed = ingest.ingest_telemetry(spark, str(tmp_path / "live.jsonl"), str(tmp_path / "fixture.json"), table)
     rows = {r["source_component"]: (r["metric_value"], r["from_fixture"]) for r in observed.collect()}
-    assert rows == {"router_ping": (4.12, True), "docker_stats": (6.0, False)}
+    assert rows == {"router_ping": (3.87, True), "docker_stats": (6.0, False)}
     assert spark.read.parquet(f"{table}/telemetry").count() == 2
     assert spark.read.parquet(f"{table}/telemetry_unresolved").count() == 0
     assert spark.read.parquet(f"{table}/telemetry_quarantine").count() == 2

@@ -9,12 +9,12 @@ from hearthmill.sources import statements
 
 SPLIT_HEADER = '"Account Number","Post Date","Check","Description","Debit","Credit","Status"'
 SPLIT_ROWS = [
-    '"XXXX-1234","2026-09-01","","MARKET #12","-142.50","","Cleared"',
-    '"XXXX-1234","2026-09-03","","BOOKS ""R"" US","-22.99","","Cleared"',
-    '"XXXX-1234","2026-09-05","101","CITY UTIL","-115.00","","Cleared"',
-    '"XXXX-1234","2026-09-10","","FUEL 48392","-65.20","","posted"',
-    '"XXXX-1234","2026-09-15","","PAY","","3200.00","Cleared"',
-    '"XXXX-1234","2026-09-18","","LUNCH","-14.50",""," PENDING "',
+    '"XXXX-4417","2026-03-02","","GREENGROCER 8","-118.40","","Cleared"',
+    '"XXXX-4417","2026-03-04","","BOOKS ""R"" US","-31.05","","Cleared"',
+    '"XXXX-4417","2026-03-07","101","CITY UTIL","-87.00","","Cleared"',
+    '"XXXX-4417","2026-03-11","","FUEL 77","-54.30","","posted"',
+    '"XXXX-4417","2026-03-15","","PAY","","2950.00","Cleared"',
+    '"XXXX-4417","2026-03-20","","LUNCH","-12.75",""," PENDING "',
 ]
 
 
@@ -36,12 +36,12 @@ def test_split_statement(spark, folder):
     rows = ledger.canonical(ledger.read_ledger(spark, folder("a.csv", SPLIT_HEADER, *SPLIT_ROWS)))
     assert rows.columns == ["account_number", "post_date", "check", "description", "amount", "status"]
     found = sorted(rows.collect(), key=lambda r: r["post_date"])
-    assert [r["amount"] for r in found] == [-142.5, -22.99, -115.0, -65.2, 3200.0]
-    assert {r["account_number"] for r in found} == {"XXXX-1234"}
+    assert [r["amount"] for r in found] == [-118.4, -31.05, -87.0, -54.3, 2950.0]
+    assert {r["account_number"] for r in found} == {"XXXX-4417"}
     assert [r["check"] for r in found] == ["", "", "101", "", ""]
     assert found[1]["description"] == 'BOOKS "R" US'
     assert found[3]["status"] == "posted"
-    assert found[0]["post_date"] == datetime.date(2026, 9, 1)
+    assert found[0]["post_date"] == datetime.date(2026, 3, 2)
 
 
 def test_signed_statement(spark, folder):
@@ -64,7 +64,7 @@ def test_layouts_with_columns_in_any_order(spark, folder, tmp_path):
     folder("c d_7777.csv", "Amount,Sub-description,Date", "1.5,x,2026-01-01")
     rows, rejected = split_errors(ledger.read_ledger(spark, str(tmp_path)))
     assert rejected.count() == 0
-    assert amounts(rows) == sorted([-142.5, -22.99, -115.0, -65.2, 3200.0, 3.0, 1.5])
+    assert amounts(rows) == sorted([-118.4, -31.05, -87.0, -54.3, 2950.0, 3.0, 1.5])
     by_amount = {r["amount"]: r["account_number"] for r in rows.collect()}
     assert by_amount[3.0] == "XXXX-9876" and by_amount[1.5] == "XXXX-7777"
 

@@ -7,10 +7,10 @@ from hearthmill.operators.messages import extract_bills
 from hearthmill.operators.quality import split_errors
 from hearthmill.sources import documents, sinks
 
-HEAD = "From: a@example.com\nSubject: Your Statement\nDate: Wed, 23 Sep 2026 10:00:00 -0600\n"
+HEAD = "From: a@example.com\nSubject: March bill\nDate: Fri, 6 Mar 2026 08:15:00 -0600\n"
 HTML = (
-    "<html><body><div>\n  <h1>Statement</h1>\n <p>Hi,</p><br><p>Account number: 99998888</p>"
-    "<p>Total due now*: <strong>$150.75</strong></p></div></body></html>"
+    "<html><body><div>\n  <h1>Statement</h1>\n <p>Hi,</p><br><p>Account number: 77776666</p>"
+    "<p>Please pay: <strong>$212.40</strong></p></div></body></html>"
 )
 MAILS = {
     "html": HEAD + 'Content-Type: text/html; charset="UTF-8"\n\n' + HTML,
@@ -30,9 +30,9 @@ MAILS = {
     "quoted": "Subject: x\nContent-Type: text/plain; charset=latin-1\nContent-Transfer-Encoding: quoted-printable\n\ncaf=E9 7.00",
 }
 WANTED = {
-    "html": ("2026-09-23", "Your Statement", 150.75, "Statement\nHi,\nAccount number: 99998888\nTotal due now*:\n$150.75"),
-    "twin": ("2026-09-23", "Your Statement", 1234.56, "plain 1,234.56"),
-    "nested": ("2026-09-23", "Your Statement", 2.0, "first 1.00\nsecond 2.00"),
+    "html": ("2026-03-06", "March bill", 212.4, "Statement\nHi,\nAccount number: 77776666\nPlease pay:\n$212.40"),
+    "twin": ("2026-03-06", "March bill", 1234.56, "plain 1,234.56"),
+    "nested": ("2026-03-06", "March bill", 2.0, "first 1.00\nsecond 2.00"),
     "nodate": (None, None, None, "no figures"),
     "baddate": (None, "x", 5.0, "body 5.00"),
     "late": ("2026-12-31", "x", None, "body"),
@@ -83,7 +83,7 @@ def test_staged_csv(spark, inbox, tmp_path):
     assert back.columns == ["date", "subject", "total_amount", "raw_body_text"]
     assert back.count() == len(MAILS)
     assert back.where("subject = 'Reçu été'").first()["total_amount"] == 3.25
-    assert back.where("total_amount = 150.75").first()["raw_body_text"] == WANTED["html"][3]
+    assert back.where("total_amount = 212.40").first()["raw_body_text"] == WANTED["html"][3]
 
 
 def test_empty_batch_still_writes_the_header(spark, inbox, tmp_path):

@@ -5,12 +5,12 @@ from hearthmill.operators.quality import split_errors
 from hearthmill.sources import telemetry_json
 
 PING = {
-    "timestamp": "2026-09-23T22:00:00Z", "target": "10.0.0.1", "telemetry_type": "router_ping",
-    "status": "ONLINE", "latency_ms": 4.12, "raw_payload": "64 bytes time=4.12 ms",
+    "timestamp": "2026-03-06T05:00:00Z", "target": "10.0.0.1", "telemetry_type": "router_ping",
+    "status": "ONLINE", "latency_ms": 3.87, "raw_payload": "64 bytes time=3.87 ms",
 }
 DAEMON = {
-    "timestamp": "2026-09-23T22:00:01Z", "target": "d", "telemetry_type": "docker_stats",
-    "status": "HEALTHY", "active_containers": 4, "raw_payload": '{"running": 4}',
+    "timestamp": "2026-03-06T05:00:01Z", "target": "d", "telemetry_type": "docker_stats",
+    "status": "HEALTHY", "active_containers": 5, "raw_payload": '{"up": 5}',
 }
 
 
@@ -24,8 +24,8 @@ def test_samples_of_a_json_array(spark):
     good, bad = split_errors(found)
     rows = telemetry.displayed(good.orderBy("position")).collect()
     assert [tuple(r) for r in rows] == [
-        ("2026-09-23T22:00:00Z", "router_ping", "latency_ms", 4.12, "ONLINE", PING["raw_payload"]),
-        ("2026-09-23T22:00:01Z", "docker_stats", "active_containers", 4.0, "HEALTHY", DAEMON["raw_payload"]),
+        ("2026-03-06T05:00:00Z", "router_ping", "latency_ms", 3.87, "ONLINE", PING["raw_payload"]),
+        ("2026-03-06T05:00:01Z", "docker_stats", "active_containers", 5.0, "HEALTHY", DAEMON["raw_payload"]),
     ]
     assert bad.count() == 0
     assert [r["position"] for r in good.orderBy("position").collect()] == [0, 5]
