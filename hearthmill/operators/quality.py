@@ -17,9 +17,17 @@ _COPIES_PER_RANGE = 100_000
 _RANGES_PER_DIGEST = 1 << 40
 
 
+def _key_part(value: Column) -> Column:
+    """Text that neither a separator inside a value nor a null can confuse."""
+    escaped = F.replace(
+        F.replace(value.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")
+    )
+    return F.coalesce(escaped, F.lit("\\N"))
+
+
 def key_uuid(parts: Sequence[Column]) -> Column:
     """UUID-shaped digest of the parts; the same parts give the same key."""
-    digest = F.sha2(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts]), 256)
+    digest = F.sha2(F.concat_ws("|", *[_key_part(part) for part in parts]), 256)
     bounds = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
     return F.concat_ws("-", *[F.substring(digest, start, size) for start, size in bounds])
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from hearthmill.functions import text
 from hearthmill.operators import ledger as statements
 from hearthmill.operators import messages, quality, receipts, telemetry, vendors
-from hearthmill.schemas import BILL_COLUMNS, LEDGER_COLUMNS
+from hearthmill.schemas import BILL_COLUMNS, LEDGER_COLUMNS, OBSERVATION_COLUMNS
 from hearthmill.sources import documents, sinks, telemetry_json
 from hearthmill.sources.shared import settle
 from hearthmill.sources.statements import FILE_COLUMN
@@ -103,7 +103,10 @@ def ingest_messages(spark: SparkSession, folder: str, pattern: str, table: str)
 def ingest_receipts(ocr_texts: DataFrame, table: str) -> DataFrame:
     """Receipt texts (``path``, ``raw_ocr_text``) to a table by month."""
     found = receipts.extract_receipts(ocr_texts)
-    sinks.write_monthly(found, f"{table}/receipts", "receipt_date")
+    identity = [F.col("path"), F.col("raw_ocr_text")]
+    keyed = found.withColumn("receipt_id", quality.key_uuid(identity))
+    once = settle(quality.keep_first(keyed, ["receipt_id"], ["path"]), "receipts")
+    append_new(once, f"{table}/receipts", "receipt_date", "receipt_id")
     return found
 
 
@@ -133,7 +136,9 @@ def ingest_telemetry(
         "observations",
     )
     resolved, unresolved = quality.split_errors(observed)
-    sinks.write_monthly(resolved, f"{table}/telemetry", "timestamp")
+    content = [F.col(name) for name in OBSERVATION_COLUMNS]
+    keyed = resolved.withColumn("log_id", quality.key_uuid(content))
+    append_new(keyed, f"{table}/telemetry", "timestamp", "log_id")
     unresolved.write.mode("append").parquet(f"{table}/telemetry_unresolved")
     bad_live.unionByName(bad_fixture, allowMissingColumns=True).write.mode("append").parquet(
         f"{table}/telemetry_quarantine"

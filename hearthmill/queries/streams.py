@@ -19,7 +19,7 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     repeated = events.unionByName(events.where("event_type = 'error'"))
     folder = fresh_path(spark, "event-lines")
     repeated.write.option("timestampFormat", streaming.TIMESTAMP_FORMAT).json(folder)
-    return streaming.read_sample_stream(spark, folder, events.schema)
+    return streaming.readable(streaming.read_sample_stream(spark, folder, events.schema), "ts")
 
 
 @query(

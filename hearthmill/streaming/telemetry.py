@@ -34,17 +34,34 @@ STATE_CONF = {
 _SPREAD = 16
 
 
-def read_sample_stream(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
-    """JSON-lines folder as a stream; ``_arrival`` spreads copies of a row."""
-    return (
-        spark.readStream.schema(schema)
+def read_sample_stream(
+    spark: SparkSession, folder: str, schema: T.StructType, files_per_batch: int | None = None
+) -> DataFrame:
+    """JSON-lines folder as a stream.
+
+    ``record`` holds a line that does not fit the schema; ``_arrival`` spreads
+    the copies of a row.
+    """
+    fields = [*schema.fields, T.StructField("record", T.StringType())]
+    reader = (
+        spark.readStream.schema(T.StructType(fields))
         .option("timestampFormat", TIMESTAMP_FORMAT)
-        .json(folder)
-        .withColumn(
-            "_arrival",
-            F.pmod(F.xxhash64("_metadata.file_path", "_metadata.file_block_start"), F.lit(_SPREAD)),
-        )
+        .option("columnNameOfCorruptRecord", "record")
     )
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    file_part = F.xxhash64("_metadata.file_path", "_metadata.file_block_start")
+    return reader.json(folder).withColumn("_arrival", F.pmod(file_part, F.lit(_SPREAD)))
+
+
+def readable(samples: DataFrame, timestamp: str) -> DataFrame:
+    """Samples that fit the schema and say when they were taken."""
+    return samples.where(F.col("record").isNull() & F.col(timestamp).isNotNull()).drop("record")
+
+
+def unreadable(samples: DataFrame, timestamp: str) -> DataFrame:
+    """The other ones, for a quarantine stream of their own."""
+    return samples.where(F.col("record").isNotNull() | F.col(timestamp).isNull()).drop("_arrival")
 
 
 def without_duplicates(samples: DataFrame, key: Sequence[str], timestamp: str) -> DataFrame:
@@ -167,7 +184,7 @@ def run_to_table(
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows that arrived behind the watermark, over the query's batches."""
+    """Rows that arrived behind the watermark, over the batches Spark still reports."""
     return sum(
         operator.numRowsDroppedByWatermark
         for progress in query.recentProgress

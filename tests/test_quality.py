@@ -23,6 +23,13 @@ def test_keys_survive_a_repeated_ingest(spark):
     assert quality.not_loaded(kept, kept, ["transaction_id"]).count() == 0
 
 
+def test_keys_tell_parts_apart(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("a\\", "b"), ("a", "\\b"), ("a", None), ("a", ""), (None, "a"), ("a", "\\N"), ("a", "N")]
+    frame = spark.createDataFrame(rows, "x string, y string")
+    keys = frame.select(quality.key_uuid([F.col("x"), F.col("y")])).distinct()
+    assert keys.count() == len(rows)
+
+
 def test_timeliness_boundary(spark):
     start = datetime.datetime(2026, 1, 1, 10)
     rows = [(start, start + datetime.timedelta(hours=h)) for h in (0, 48, 49)] + [(start, None)]

@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -14,9 +15,14 @@ def write(folder, name, rows):
     (folder / name).write_text("\n".join(lines))
 
 
-def stream(spark, folder):
+def raw_stream(spark, folder, **options):
     schema = spark.createDataFrame([], SCHEMA).schema
-    return streaming.without_duplicates(streaming.read_sample_stream(spark, str(folder), schema), ["event_id"], "ts")
+    return streaming.read_sample_stream(spark, str(folder), schema, **options)
+
+
+def stream(spark, folder, **options):
+    samples = streaming.readable(raw_stream(spark, folder, **options), "ts")
+    return streaming.without_duplicates(samples, ["event_id"], "ts")
 
 
 def test_duplicates_within_and_across_files(spark, tmp_path):
@@ -31,7 +37,7 @@ def test_duplicates_within_and_across_files(spark, tmp_path):
     ]
 
 
-def test_append_shows_closed_windows_only_and_counts_late_rows(spark, tmp_path):
+def test_append_shows_closed_windows_only(spark, tmp_path):
     start = datetime(2026, 1, 1)
     write(tmp_path / "in", "1.json", [(1, start, "a", True), (2, start + timedelta(hours=60), "a", True)])
     result = streaming.uptime_stream(stream(spark, tmp_path / "in"), ["component"], F.col("good"), "ts")
@@ -39,6 +45,28 @@ def test_append_shows_closed_windows_only_and_counts_late_rows(spark, tmp_path):
     assert [r["window_start"] for r in got.collect()] == [start]
 
 
+def test_late_rows_are_counted(spark, tmp_path):
+    start = datetime(2026, 1, 1)
+    # A batch judges lateness by the watermark the batch before it started with.
+    for place, hours in enumerate([60, 59, 0]):
+        write(tmp_path / "in", f"{place}.json", [(place, start + timedelta(hours=hours), "a", True)])
+        os.utime(tmp_path / "in" / f"{place}.json", (1e9 + place, 1e9 + place))
+    samples = streaming.readable(raw_stream(spark, tmp_path / "in", files_per_batch=1), "ts")
+    result = streaming.uptime_stream(samples.withWatermark("ts", streaming.WATERMARK), ["component"], F.col("good"), "ts")
+    got, query = streaming.run_to_table(result, "update", "t")
+    assert streaming.late_rows(query) == 1
+    assert sorted(r["window_start"] for r in got.collect()) == [start + timedelta(hours=59), start + timedelta(hours=60)]
+
+
+def test_broken_lines_go_their_own_way(spark, tmp_path):
+    write(tmp_path / "in", "1.json", [(1, datetime(2026, 1, 1), "a", True)])
+    (tmp_path / "in" / "2.json").write_text('{broken\n{"event_id": "x"}\n{"event_id": 5}')
+    result = streaming.uptime_stream(stream(spark, tmp_path / "in"), ["component"], F.col("good"), "ts")
+    assert streaming.run_to_table(result, "complete", "t")[0].first()["n_samples"] == 1
+    bad, _ = streaming.run_to_table(streaming.unreadable(raw_stream(spark, tmp_path / "in"), "ts"), "append", "bad")
+    assert sorted(str(r["record"]) for r in bad.collect()) == ["None", '{"event_id": "x"}', "{broken"]
+
+
 def test_sessions(spark, tmp_path):
     start = datetime(2026, 1, 1)
     minutes = [0, 20, 45, 200, 229]
