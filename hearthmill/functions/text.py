@@ -15,25 +15,26 @@ WHITESPACE = (
 MASK_PREFIX = "XXXX-"
 MASK_UNKNOWN = "XXXX-REDACTED"
 
-# Entities resolved by the native HTML strip. The ampersand comes
-# last so that a doubly escaped entity is resolved once only.
+# Entities resolved by the native HTML strip, with or without
+# their semicolon. The ampersand comes last so that a doubly escaped entity is
+# resolved once only.
 HTML_ENTITIES = {
-    "&lt;": "<",
-    "&gt;": ">",
-    "&quot;": '"',
-    "&apos;": "'",
-    "&#39;": "'",
-    "&nbsp;": "\xa0",
-    "&copy;": "\xa9",
-    "&reg;": "\xae",
-    "&middot;": "\xb7",
-    "&euro;": "\u20ac",
-    "&pound;": "\xa3",
-    "&cent;": "\xa2",
-    "&ndash;": "\u2013",
-    "&mdash;": "\u2014",
-    "&hellip;": "\u2026",
-    "&amp;": "&",
+    "lt": "<",
+    "gt": ">",
+    "quot": '"',
+    "apos": "'",
+    "#39": "'",
+    "nbsp": "\xa0",
+    "copy": "\xa9",
+    "reg": "\xae",
+    "middot": "\xb7",
+    "euro": "\u20ac",
+    "pound": "\xa3",
+    "cent": "\xa2",
+    "ndash": "\u2013",
+    "mdash": "\u2014",
+    "hellip": "\u2026",
+    "amp": "&",
 }
 
 # Stands where markup was; cannot occur in decoded text.
@@ -94,6 +95,6 @@ def html_visible_text(html: Column) -> Column:
     for pattern in _HTML_MARKUP:
         text = F.regexp_replace(text, pattern, _NODE_BREAK)
     for entity, plain in HTML_ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(plain))
+        text = F.regexp_replace(text, rf"&{entity}(?:;|\b)", plain)
     nodes = F.transform(F.split(text, _NODE_BREAK), strip)
     return F.array_join(F.filter(nodes, lambda node: node != ""), "\n")

@@ -11,6 +11,8 @@ from collections import Counter
 from collections.abc import Iterator
 from email import message_from_bytes, policy
 from email.utils import parsedate_to_datetime
+from html import unescape
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -51,7 +53,7 @@ class _TextNodes(HTMLParser):
     """Collects text nodes outside hidden elements."""
 
     def __init__(self):
-        super().__init__(convert_charrefs=True)
+        super().__init__(convert_charrefs=False)
         self.nodes, self.pending, self.open, self.depth = [], [], [], Counter()
 
     def flush(self):
@@ -63,6 +65,13 @@ class _TextNodes(HTMLParser):
     def handle_data(self, data):
         self.pending.append(data)
 
+    def handle_charref(self, name):
+        self.pending.append(unescape(f"&#{name};"))
+
+    def handle_entityref(self, name):
+        # A known entity needs no semicolon; an unknown one loses it.
+        self.pending.append(html5.get(f"{name};", f"&{name}"))
+
     def handle_starttag(self, tag, attrs):
         self.flush()
         if tag not in _VOID:

@@ -119,7 +119,7 @@ def _sql_visible_text(html: str) -> str:
     for pattern, flags in patterns:
         html = f"regexp_replace({html}, '{pattern}', chr(1), '{flags}')"
     for entity, plain in text.HTML_ENTITIES.items():
-        html = f"replace({html}, '{entity}', {' || '.join(f'chr({ord(c)})' for c in plain)})"
+        html = rf"regexp_replace({html}, '&{entity}(?:;|\b)', chr({ord(plain)}), 'g')"
     blanks = " || ".join(f"chr({ord(c)})" for c in text.WHITESPACE)
     return (
         f"array_to_string(list_filter(list_transform(string_split({html}, chr(1)), "

@@ -51,7 +51,7 @@ def outage_stream(spark, sf_dir):
     """
 WITH hourly AS (
   SELECT event_type, date_trunc('hour', ts) AS window_start, count(*) AS n_samples,
-         count(*) FILTER (event_type <> 'error') AS n_good, round(avg(value), 6) AS metric_value
+         count(*) FILTER (event_type <> 'error') AS n_good, round(avg(value), 10) AS metric_value
   FROM events GROUP BY 1, 2),
 closed AS (
   SELECT * FROM hourly
@@ -60,7 +60,7 @@ grid AS (
   SELECT event_type, unnest(generate_series((SELECT min(window_start) FROM closed),
          (SELECT max(window_start) FROM closed), INTERVAL 1 HOUR)) AS window_start
   FROM (SELECT DISTINCT event_type FROM events)),
-fixture AS (SELECT event_type, round(arg_min(value, event_id), 6) AS metric_value FROM events GROUP BY 1)
+fixture AS (SELECT event_type, round(arg_min(value, event_id), 10) AS metric_value FROM events GROUP BY 1)
 SELECT g.event_type, g.window_start, coalesce(n_samples, 0) AS n_samples, coalesce(n_good, 0) AS n_good,
        CASE WHEN n_samples IS NULL THEN f.metric_value ELSE c.metric_value END AS metric_value,
        CASE WHEN n_samples IS NULL OR g.event_type <> 'error' THEN 'ONLINE' ELSE 'TIMEOUT' END AS status,
@@ -88,4 +88,4 @@ def probe_stream_fallback(spark, sf_dir):
         lambda batch: streaming.fill_closed_windows(
             batch, fixture.select("event_type"), fixture, "event_type"
         ),
-    )[0].withColumn("metric_value", F.round("metric_value", 6))
+    )[0].withColumn("metric_value", F.round("metric_value", 10))

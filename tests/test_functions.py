@@ -131,6 +131,7 @@ PAGES = [
     "<a title='a>b' href=\"x>y\">link</a><br/>two\n lines",
     "<p>open<script>never closed <b>x</b>",
     "<template><p>no</p></template>yes",
+    "<title>cut &amp</title><p>&copy 2026 &euro;5 &amp;copy; &#39;x&#39; a & b &ampersand</p>",
     "",
 ]
 
@@ -144,6 +145,12 @@ def test_html_text_native_equals_parser(values):
     assert native[2] == "link\ntwo\n lines"
 
 
+def test_html_entities():
+    from hearthmill.operators.messages import visible_text
+
+    assert visible_text("&eacute;&#8364;&#150;&#x41; &nosuch; &amp<br>") == "\xe9\u20ac\u2013A &nosuch &"
+
+
 def test_html_hides_ruby_annotations():
     from hearthmill.operators.messages import visible_text
 
