@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hearthmill.functions.text import strip
+from hearthmill.functions.text import WHITESPACE, strip
 
-# Spark alone would also read "1.5d"; a bank cell must be a plain number.
-_PLAIN_NUMBER = r"^[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))$"
+# Spark alone would also read "1.5d"; a bank cell must be a plain number. The
+# pattern takes the blanks around it, so that a cell is read in one step.
+_PLAIN_NUMBER = (
+    rf"^[{WHITESPACE}]*+([+-]?(?:(?:\d++\.?+\d*+|\.\d++)(?:[eE][+-]?\d++)?+|(?i:inf|infinity)))[{WHITESPACE}]*+$"
+)
 
 # Cell texts that mean "no amount".
 _MISSING_TEXTS = ["", "nan", "None"]
@@ -18,20 +23,24 @@ RECEIPT_TOKEN = r"\d+\.\d{2}"
 BILL_TOKEN = r"\d{1,3}(?:,\d{3})*\.\d{2}|\d+\.\d{2}"
 
 
+def _without(cell: Column, characters: str) -> Column:
+    return reduce(lambda text, c: F.replace(text, F.lit(c), F.lit("")), characters, cell)
+
+
 def _unsigned_text(cell: Column) -> Column:
-    return strip(F.translate(cell, "$,()-", ""))
+    return _without(cell, "$,()-")
 
 
 def _signed_text(cell: Column) -> Column:
-    return strip(F.translate(cell, "$,", ""))
+    return _without(cell, "$,")
 
 
 def _number(text: Column) -> Column:
-    return F.when(text.rlike(_PLAIN_NUMBER), text.try_cast("double"))
+    return F.regexp_extract(text, _PLAIN_NUMBER, 1).try_cast("double")
 
 
 def _is_missing(text: Column) -> Column:
-    return text.isNull() | text.isin(_MISSING_TEXTS)
+    return text.isNull() | strip(text).isin(_MISSING_TEXTS)
 
 
 def unsigned_amount(cell: Column) -> Column:
@@ -45,7 +54,7 @@ def signed_amount(cell: Column) -> Column:
 
 
 def _unreadable(text: Column) -> Column:
-    return ~_is_missing(text) & _number(text).isNull()
+    return _number(text).isNull() & ~_is_missing(text)
 
 
 def unsigned_unreadable(cell: Column) -> Column:
