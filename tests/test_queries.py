@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as driver
 from check_queries import TABLES, rows_of
+from hearthmill.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -17,9 +18,9 @@ def sql():
     return connection
 
 
-@pytest.mark.parametrize("name", driver.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_its_sql(spark, sql, name):
-    got = driver.queries()[name](spark, SF_DIR).toPandas()
+    got = QUERIES[name](spark, SF_DIR).toPandas()
     want = sql.execute(driver.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert rows_of(got) == rows_of(want)
