@@ -22,6 +22,7 @@ LABELLED = [
         "http://casino-club.example.com/en/17", "https://www.win-casino.example.net/fr/52.html", "http://pills-cheap.example.org/de/8", "https://m.cheap-pills.example.net/en/301",
         "http://adult-cam.example.com/es/6", "https://blog.x-adult.example.net/en/90/", "http://spam-host.example.com/fr/23", "https://www.farm-spam.example.org/en/4?page=2",
         "http://casino-win.example.org/en/71#top", "http://spam-farm.example.net/de/15",
+        "http://adult-video.example.net/en/3", "https://www.adult-x.example.org/fr/802",
     )],
     *[(url, 0) for url in (
         "http://example.com/en/12", "https://www.example.org/de/articles/7", "http://blog.example.net/fr/2020/notes.html", "https://m.example.com/es/44",
@@ -35,6 +36,7 @@ LABELLED = [
         "http://motion.example.org/en/71#top", "http://other.example.net/de/15", "https://m.shore.example.net/es/651.html", "http://earth.example.com/en/5",
         "http://notion.example.net/fr/2286.html?utm_source=feed", "https://www.winter.example.com/es/66", "http://herbs.example.org/en/7207#top",
         "http://shelter.example.net/en/4636/", "https://ocean.example.net/de/4954?page=2&ref=x", "http://m.feather.example.net/fr/8592.html",
+        "http://habitat.example.net/es/94", "https://www.hatter.example.net/fr/3204",
     )],
 ]
 
