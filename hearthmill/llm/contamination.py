@@ -27,11 +27,11 @@ def words(text: Column) -> Column:
 
 
 def shingles(tokens: str, gram: int) -> Column:
-    """Hash of the shingle at each place; a shorter text is one shingle, no text none."""
+    """The shingle at each place, its words joined by blanks; a shorter text is one shingle, no text none."""
     parts = ", ".join(f"get({tokens}, i + {k})" for k in range(gram))
     return F.expr(
-        f"if(size({tokens}) = 0, cast(array() as array<long>), "
-        f"transform(sequence(0, greatest(size({tokens}) - {gram}, 0)), i -> xxhash64({parts})))"
+        f"if(size({tokens}) = 0, cast(array() as array<string>), "
+        f"transform(sequence(0, greatest(size({tokens}) - {gram}, 0)), i -> concat_ws(' ', {parts})))"
     )
 
 
@@ -55,53 +55,47 @@ def contaminated_words(docs: DataFrame, items: DataFrame, width: int = 13, gram:
     give no rows or no hits; further columns are not read.
     """
     held = settle(_windows(items, width).distinct(), "windows")
-    unique = held.select("window", "length").distinct()
-    window_shingles = unique.select("window", "length", F.split("window", " ").alias("w")).select(
-        "window", "length", F.posexplode(shingles("w", gram)).alias("offset", "shingle")
-    )
-    window_shingles = settle(window_shingles, "window-shingles")
+    patterns = held.select("window", "length").distinct().select("window", "length", F.split("window", " ").alias("w"))
+    patterns = settle(patterns.select("window", "length", shingles("w", gram).alias("pattern")), "window-shingles")
+    window_shingles = patterns.select("window", F.posexplode("pattern").alias("offset", "shingle"))
     wanted = settle(window_shingles.select("shingle").distinct(), "wanted-shingles")
 
     own = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
-    keyed = own.select(known("doc_id").alias("id"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("text_hash"), "doc_id", words(F.col("text")).alias("w"))
-    # A document without words leaves its own hash, so that each row of docs is seen at place 0.
-    placed = keyed.select(
+    cut = own.select("doc_id", known("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"))
+    # A document without words leaves one empty shingle, so that each row of docs is seen at place 0.
+    placed = cut.select(
         "doc_id", "id", "text_hash", F.size("w").alias("n_words"),
-        F.posexplode(F.when(F.size("w") == 0, F.array(F.xxhash64("id"))).otherwise(shingles("w", gram))).alias("place", "shingle"),
+        F.posexplode(F.when(F.size("w") == 0, F.array(F.lit(""))).otherwise(shingles("w", gram))).alias("place", "shingle"),
     )
     met = placed.join(wanted.withColumn("known", F.lit(True)), "shingle", "left").filter("place = 0 or known")
     met = settle(met, "met-shingles")
 
     rarity = met.filter("known").groupBy("shingle").agg(F.count("*").alias("seen"))
-    # A window with a shingle that no document holds is dropped here: it cannot occur.
-    counted = window_shingles.join(rarity, "shingle", "left")
-    prefix = counted.groupBy("window", "length").agg(
+    # A window with a shingle that no document holds cannot occur and is dropped here.
+    rarest = window_shingles.join(rarity, "shingle", "left").groupBy("window").agg(
         F.min(F.struct(F.coalesce("seen", F.lit(0)).alias("seen"), "offset", "shingle")).alias("rarest")
     )
-    prefix = settle(
-        prefix.filter("rarest.seen > 0").select("window", "length", F.col("rarest.offset").alias("offset"), F.col("rarest.shingle").alias("shingle")),
-        "window-prefixes",
-    )
-    places = (
-        met.filter("known").join(prefix, "shingle")
-        .withColumn("start", F.col("place") - F.col("offset"))
-        .filter("start >= 0 and start + length <= n_words")
+    prefix = patterns.join(rarest.filter("rarest.seen > 0"), "window").select("window", "length", "pattern", "rarest.offset", "rarest.shingle")
+    prefix = settle(prefix, "window-prefixes")
+    # Candidate places by the prefix alone, within the bounds of the document.
+    start = F.col("place") - F.col("offset")
+    fits = (start >= 0) & (start + F.col("length") <= F.col("n_words"))
+    candidates = met.filter("known").join(prefix, "shingle", "left").groupBy("id", "text_hash").agg(
+        F.sort_array(F.collect_set(F.struct("place", "shingle"))).alias("spots"),
+        F.collect_set(F.when(fits, F.struct(start.alias("start"), "length", "window", "pattern"))).alias("asked"),
     )
-    asked = places.groupBy("id", "text_hash").agg(F.collect_set(F.struct("start", "length", "window")).alias("asked"))
-    asked = settle(asked, "asked-places").toDF("aid", "ahash", "asked")
-    # Only documents with a candidate place are read again, once each.
-    texts = own.withColumn("id", known("doc_id")).withColumn("text_hash", F.coalesce(F.xxhash64("text"), F.lit(0)))
+    # A window occurs where all its shingles stand one after the other: compared word by word, not by hash.
+    at = "slice(spots, greatest(array_position(transform(spots, s -> s.place), a.start), 1), size(a.pattern))"
+    occurs = f"array_position(transform(spots, s -> s.place), a.start) > 0 and {at}.shingle = a.pattern and element_at({at}.place, -1) = a.start + size(a.pattern) - 1"
     verified = (
-        texts.join(asked, (F.col("id") == F.col("aid")) & (F.col("text_hash") == F.col("ahash")))
-        .select("id", "text_hash", "asked", words(F.col("text")).alias("w"))
-        .withColumn("found", F.expr("filter(asked, a -> array_join(slice(w, a.start + 1, a.length), ' ') = a.window)"))
+        candidates.filter("size(asked) > 0")
+        .withColumn("found", F.expr(f"filter(asked, a -> {occurs})"))
         .filter("size(found) > 0")
         .select(
             "id", "text_hash",
             F.expr("size(array_distinct(flatten(transform(found, a -> sequence(a.start, a.start + a.length - 1)))))").alias("n_hit"),
             F.expr("array_distinct(found.window)").alias("windows"),
         )
-        .dropDuplicates(["id", "text_hash"])
     )
     verified = settle(verified, "verified-windows")
     ids = (
@@ -109,7 +103,7 @@ def contaminated_words(docs: DataFrame, items: DataFrame, width: int = 13, gram:
         .join(held.select("window", "item"), "window")
         .groupBy("id", "text_hash").agg(F.array_sort(F.collect_set("item")).alias("item_ids"))
     )
-    hits = verified.select("id", "text_hash", "n_hit").join(ids, ["id", "text_hash"])
+    hits = settle(verified.select("id", "text_hash", "n_hit").join(ids, ["id", "text_hash"]), "hits")
     return (
         met.filter("place = 0").select("doc_id", "id", "text_hash", "n_words")
         .join(hits, ["id", "text_hash"], "left")
@@ -126,6 +120,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that are not contaminated, with their columns as they are."""
     bad = contaminated_words(docs, items).filter(is_contaminated())
     bad = bad.select(known("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    bad = settle(bad, "contaminated")
     own = (F.col("__doc") == F.col("__id")) & (F.col("__own") == F.col("__hash"))
-    marked = docs.withColumn("__doc", known("doc_id")).withColumn("__own", F.coalesce(F.xxhash64(F.col("text").cast("string")), F.lit(0)))
+    marked = docs.withColumn("__doc", known("doc_id")).withColumn("__own", F.xxhash64(F.col("text").cast("string")))
     return marked.join(bad, own, "left_anti").select(*docs.columns)

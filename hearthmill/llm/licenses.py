@@ -45,7 +45,7 @@ def _templates(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
 
 
 def _bigrams():
-    """Hashes of neighbouring words; a single word is taken as it is."""
+    """Neighbouring words; a single word is taken as it is."""
     return shingles("w", 2)
 
 
