@@ -11,7 +11,7 @@ are independent, so their misses multiply.
 Equal sets are one class from the start, and candidate pairs are confirmed
 on full sets. Large nodes that are left at the greatest depth are settled
 exactly: if their members do not yet belong to one component, those outside
-the largest component are compared with every member.
+the largest component are joined with the others by their rarest shingles.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from hearthmill.sources.shared import settle
 WIDTH = 48
 TREES = 10
 SMALL = 24
-DEPTH = 6
+DEPTH = 4
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
 
@@ -159,39 +159,38 @@ def candidate_pairs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return every.distinct(), left
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, source: DataFrame, gram: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough.
+def close_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Candidates that share at least half of their minwise tokens.
 
-    Shared tokens are counted first: at similarity 0.8, fewer than half of 48
-    has a chance below one in a million. Full sets are made again, and only
-    for the documents of pairs that remain.
+    At similarity 0.8 fewer than half of 48 has a chance below one in a million.
     """
     tokens = classes.select("id", "tokens")
     agreed = F.aggregate(F.zip_with("ta", "tb", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
     close = pairs.join(tokens.toDF("a", "ta"), "a").join(tokens.toDF("b", "tb"), "b").filter(agreed >= WIDTH // 2)
-    close = settle(close.select("a", "b"), "close-pairs")
-    needed = close.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    needed = settle(needed.join(classes.select("id", "row.*"), "id").toDF("class", "rid", "rhash"), "needed-classes")
+    return settle(close.select("a", "b"), "close-pairs")
+
+
+def full_sets(ids: DataFrame, classes: DataFrame, source: DataFrame, gram: int) -> DataFrame:
+    """(id, s): the shingle sets of some classes, made again from one text of each."""
+    needed = settle(ids.join(classes.select("id", "row.*"), "id").toDF("class", "rid", "rhash"), "needed-classes")
 
     @F.pandas_udf("array<long>")
     def full_set(series: pd.Series) -> pd.Series:
         bodies = list(series)
         return pd.Series([s.view(np.int64) for part in chunks(bodies) for s in shingle_sets(bodies[part], gram)])
 
-    texts = source.join(needed, (F.col("id") == F.col("rid")) & (F.col("text_hash") == F.col("rhash")))
-    sets = texts.select("class", full_set.asNondeterministic()("text").alias("s")).dropDuplicates(["class"])
-    sets = settle(sets, "full-sets")
-    both = close.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    # Many classes are needed at any size, so the join is planned alike at every size.
+    texts = source.join(needed.hint("merge"), (F.col("id") == F.col("rid")) & (F.col("text_hash") == F.col("rhash")))
+    sets = texts.select(F.col("class").alias("id"), full_set.asNondeterministic()("text").alias("s"))
+    return settle(sets.dropDuplicates(["id"]), "full-sets")
 
-    @F.pandas_udf("boolean")
-    def alike(left: pd.Series, right: pd.Series) -> pd.Series:
-        answers = []
-        for x, y in zip(left, right):
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            answers.append(100 * common >= percent * (len(x) + len(y) - common))
-        return pd.Series(answers, dtype=bool)
 
-    return settle(both.filter(alike.asNondeterministic()("sa", "sb")).select("a", "b"), "links")
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
+    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    common = F.size(F.array_intersect("sa", "sb"))
+    alike = 100 * common >= percent * (F.size("sa") + F.size("sb") - common)
+    return settle(both.filter(alike).select("a", "b"), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -213,17 +212,32 @@ def components(links: DataFrame) -> DataFrame:
         labels = lower.selectExpr("x", "next as label")
 
 
-def _left_over(left: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs still open in large nodes: members outside the node's largest component with all others."""
-    named = left.join(labels, "id", "left").select("node", "id", "n", F.coalesce("component", "id").alias("component"))
+def left_over_pairs(left: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs still open in the large nodes that are left, found exactly.
+
+    A node whose members share a component has nothing to add. In the others,
+    members outside the node's largest component are joined with all members
+    by prefix: a similar pair shares one of the rarest shingles of either, as
+    many as a similarity of ``percent`` lets differ, and one more. From the
+    first shared shingle on, both must be long enough for the overlap asked.
+    """
+    named = left.join(labels, "id", "left").select("node", "id", F.coalesce("component", "id").alias("component"))
     named = settle(named, "left-over")
     parts = named.groupBy("node", "component").agg(F.count("*").alias("k"))
     main = parts.groupBy("node").agg(F.max(F.struct("k", "component")).alias("main"), F.count("*").alias("parts"))
     open_nodes = settle(main.filter("parts > 1").selectExpr("node", "main.component as main"), "open-nodes")
-    members = named.join(open_nodes, "node")
-    outside = members.filter("component <> main").selectExpr("node", "id as a", "n as an", "component as ac")
-    pairs = outside.join(members.selectExpr("node", "id as b", "n as bn", "component as bc"), "node")
-    return pairs.filter(f"ac <> bc and {_similar_sizes('an', 'bn')}").selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct()
+    members = named.join(open_nodes, "node").groupBy("id").agg(F.first("component").alias("component"), F.max(F.expr("component <> main")).alias("outside"))
+    members = settle(members.join(sets, "id"), "open-members")
+    seen = members.select(F.explode("s").alias("token")).groupBy("token").agg(F.count("*").alias("seen"))
+    ranked = members.select("id", F.explode("s").alias("token")).join(seen, "token").groupBy("id").agg(
+        F.sort_array(F.collect_list(F.struct("seen", "token"))).alias("r")
+    )
+    prefix = ranked.select("id", F.size("r").alias("n"), F.posexplode(F.expr(f"slice(r, 1, size(r) - cast(ceil({percent} * size(r) / 100) as int) + 1).token")).alias("place", "token"))
+    prefix = settle(prefix.join(members.select("id", "component", "outside"), "id"), "prefixes")
+    outside = prefix.filter("outside").selectExpr("token", "id as a", "n - place as ar", "n as an", "component as ac")
+    both = outside.join(prefix.selectExpr("token", "id as b", "n - place as br", "n as bn", "component as bc"), "token")
+    enough = f"least(ar, br) * (100 + {percent}) >= {percent} * (an + bn)"
+    return both.filter(f"ac <> bc and {enough}").selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct()
 
 
 def near_duplicates(docs: DataFrame, gram: int = 4, percent: int = 80) -> DataFrame:
@@ -247,11 +261,14 @@ def near_duplicates(docs: DataFrame, gram: int = 4, percent: int = 80) -> DataFr
     classes = settle(classes.withColumnRenamed("digest", "id"), "classes")
     pairs, left = candidate_pairs(classes.select("id", "n", "tokens"))
     pairs = settle(pairs, "pairs")
-    links = confirmed(pairs, classes, source, gram, percent)
+    close = close_pairs(pairs, classes)
+    wanted = close.select(F.explode(F.array("a", "b")).alias("id")).union(left.select("id")).distinct()
+    sets = full_sets(wanted, classes, source, gram)
+    links = confirmed(close, sets, percent)
     labels = components(links)
-    late = settle(_left_over(left, labels).join(pairs, ["a", "b"], "left_anti"), "late-pairs")
+    late = settle(left_over_pairs(left, labels, sets, percent), "late-pairs")
     if not late.isEmpty():
-        labels = components(links.union(confirmed(late, classes, source, gram, percent)))
+        labels = components(links.union(confirmed(late, sets, percent)))
     grouped = classes.select("id", "first").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     grouped = settle(grouped, "class-components")
     smallest = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
