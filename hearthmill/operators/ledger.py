@@ -59,13 +59,15 @@ def is_pending(status: Column) -> Column:
 def drop_pending(df: DataFrame, counts: Observation | None = None) -> DataFrame:
     """Drop authorisations that have not settled; ``counts`` gets how many."""
     pending = is_pending(F.col("status"))
+    if BROKEN_COLUMN in df.columns:  # the cells of a broken row are not where they seem
+        pending &= F.col(BROKEN_COLUMN).isNull()
     if counts is not None:
         df = df.observe(counts, F.count_if(pending).alias("pending_rows"))
     return df.where(~pending)
 
 
 def _finished(df: DataFrame) -> DataFrame:
-    provenance = [name for name in PROVENANCE_COLUMNS if name in df.columns]
+    provenance = [name for name in (*PROVENANCE_COLUMNS, BROKEN_COLUMN) if name in df.columns]
     return df.withColumns(
         {
             "post_date_raw": F.col("post_date"),
@@ -96,7 +98,7 @@ def normalize_split(df: DataFrame, counts: Observation | None = None) -> DataFra
 
 def normalize_signed(df: DataFrame, file_name: str = FILE_COLUMN) -> DataFrame:
     """Signed-amount layout to ledger rows; the file name holds the account."""
-    rows = map_headers(df, SIGNED_LEDGER_HEADERS, keep=dict.fromkeys([file_name, *PROVENANCE_COLUMNS]))
+    rows = map_headers(df, SIGNED_LEDGER_HEADERS, keep=dict.fromkeys([file_name, *PROVENANCE_COLUMNS, BROKEN_COLUMN]))
     raw = F.col("amount")
     amount = money.signed_amount(raw)
     return _finished(
@@ -133,6 +135,17 @@ def _rejected(rows: DataFrame, record: str, error: str) -> DataFrame:
     return rows.select(*PROVENANCE_COLUMNS, F.col(record).alias("record"), F.lit(error).alias("error"))
 
 
+def _placed(rows: DataFrame) -> DataFrame:
+    """Good and broken rows in one projection, so that a layout is scanned once."""
+    broken = F.col(BROKEN_COLUMN).isNotNull()
+    return rows.select(
+        *[F.when(~broken, F.col(name)).alias(name) for name in (*LEDGER_COLUMNS, *LEDGER_AUDIT_COLUMNS)],
+        *PROVENANCE_COLUMNS,
+        F.col(BROKEN_COLUMN).alias("record"),
+        F.when(broken, F.lit("more cells than the header")).alias("error"),
+    )
+
+
 def read_ledger(
     spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True
 ) -> DataFrame:
@@ -148,10 +161,7 @@ def read_ledger(
             unknown += files
             continue
         rows = read_layout(spark, files, columns, multi_line)
-        broken = F.col(BROKEN_COLUMN).isNotNull()
-        whole = rows.where(~broken).drop(BROKEN_COLUMN)
-        parts.append(normalize_signed(whole) if is_signed(columns) else normalize_split(whole))
-        parts.append(_rejected(rows.where(broken), BROKEN_COLUMN, "more cells than the header"))
+        parts.append(_placed(normalize_signed(rows) if is_signed(columns) else normalize_split(rows)))
     if unknown:
         parts.append(_rejected(read_lines(spark, sorted(unknown)), "record", "unknown layout"))
 

@@ -12,9 +12,6 @@ from hearthmill.sources.shared import settle
 _BINS_PER_UNIT = 1024
 _LARGEST_LOG = 800.0
 
-# Rows of bin limits that every executor can hold.
-_BROADCAST_ROWS = 200_000
-
 
 def value_bin(value: Column) -> Column:
     """Order-preserving coarse bin, about 0.1 % wide at any magnitude."""
@@ -45,12 +42,9 @@ def grouped_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "
         histogram.where("_before <= _high and _before + _rows > _low").drop("_rows"), "middle-bins"
     )
     place = ["_group", "_bin", "_value"]
-    if middle.count() <= _BROADCAST_ROWS:
-        rows = grouped.join(F.broadcast(middle), ["_group", "_bin"])
-        counted = rows.groupBy(*place, "_n", "_before", "_low", "_high").agg(F.count("*").alias("_copies"))
-    else:
-        # Too many groups to broadcast: copies are combined, then all is shuffled.
-        counted = grouped.groupBy(*place).agg(F.count("*").alias("_copies")).join(middle, ["_group", "_bin"])
+    # The bin limits are a written table, so Spark broadcasts them if they are small.
+    rows = grouped.join(middle, ["_group", "_bin"])
+    counted = rows.groupBy(*place, "_n", "_before", "_low", "_high").agg(F.count("*").alias("_copies"))
     in_bin = Window.partitionBy("_group", "_bin").orderBy("_value")
     ranked = (
         counted.withColumn("_end", F.col("_before") + F.sum("_copies").over(in_bin))

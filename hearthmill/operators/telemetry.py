@@ -21,8 +21,8 @@ def _field(name: str, kind: str = "string") -> Column:
 def project_samples(samples: DataFrame) -> DataFrame:
     """``sample`` objects to observations; ``error`` says why one is unusable.
 
-    An unknown type, a missing field, an unreadable figure or a payload that
-    is not text makes a sample unusable; ``record`` then keeps it whole.
+    An unknown type, a missing field, an unreadable time or figure or a payload
+    that is not text makes a sample unusable; ``record`` then keeps it whole.
     """
     kept = [name for name in samples.columns if name not in ("sample", "error")]
     earlier = F.col("error") if "error" in samples.columns else F.lit(None).cast("string")
@@ -37,6 +37,7 @@ def project_samples(samples: DataFrame) -> DataFrame:
         .when(component.isNull(), "no telemetry_type")
         .when(~(is_ping | is_daemon), F.concat(F.lit("unknown telemetry_type "), component))
         .when(_field("timestamp").isNull() | _field("status").isNull(), "missing field")
+        .when(_field("timestamp").try_cast("timestamp").isNull(), "unreadable timestamp")
         .when(~F.coalesce(readable, F.lit(False)), "unreadable figure")
         .when(F.coalesce(payload_type, F.lit("")) != "STRING", "payload is not text")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthmill.operators.medians import grouped_median
@@ -17,10 +17,19 @@ MAD_LIMIT = 3.0
 
 MONEY = "decimal(18,2)"
 
+# Ten decimals and eighteen digits before them: wide enough to add up any
+# figure of a statement or probe exactly.
+EXACT = "decimal(28,10)"
 
-def mean_of(value: str):
+
+def exact(value: str | Column) -> Column:
+    """A figure for exact sums; null beyond the range, infinite or not a number."""
+    return (F.col(value) if isinstance(value, str) else value).try_cast(EXACT)
+
+
+def mean_of(value: str) -> Column:
     """Mean of an exact sum, so that it does not depend on the row order."""
-    return F.sum(F.col(value).cast(MONEY)).cast("double") / F.count(value)
+    return F.sum(exact(value)).cast("double") / F.count(exact(value))
 
 
 def baseline(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from hearthmill.functions.dates import month_index, month_start
 from hearthmill.operators.ordered import running_sums
-from hearthmill.plans.baselines import MONEY
+from hearthmill.plans.baselines import exact
 
 _ROWS_PER_SLOT = 1 << 20
 
 
 def monthly_flow(df: DataFrame, by: Sequence[str], date: str, amount: str) -> DataFrame:
-    """Net flow, inflow, outflow and rows per ``by`` and month."""
-    value = F.col(amount).cast(MONEY)
+    """Net flow, inflow, outflow and rows per ``by`` and month.
+
+    ``n_left_out`` counts the rows whose amount is missing or too large to add.
+    """
+    value = exact(amount)
     return (
         df.groupBy(*by, month_start(F.col(date)).alias("month"))
         .agg(
@@ -24,6 +27,7 @@ def monthly_flow(df: DataFrame, by: Sequence[str], date: str, amount: str) -> Da
             F.sum(F.when(value > 0, value).otherwise(0)).alias("inflow"),
             F.sum(F.when(value < 0, value).otherwise(0)).alias("outflow"),
             F.count("*").alias("n_rows"),
+            F.count_if(value.isNull()).alias("n_left_out"),
         )
         .withColumns({n: F.col(n).cast("double") for n in ("net_flow", "inflow", "outflow")})
     )
@@ -37,7 +41,7 @@ def running_balance(
         {"_day": F.to_date(date), "_block": F.floor(F.col(number) / _ROWS_PER_SLOT)}
     )
     return running_sums(
-        slotted, account, ["_day", "_block"], [number], {"balance": F.col(amount).cast(MONEY)}
+        slotted, account, ["_day", "_block"], [number], {"balance": exact(amount)}
     ).drop("_day", "_block")
 
 
@@ -63,8 +67,8 @@ def forecast(monthly: DataFrame, by: Sequence[str], value: str) -> DataFrame:
         .withColumns(
             {
                 "months_used": F.count(value).over(before),
-                "forecast_mean": F.sum(F.col(value).cast(MONEY)).over(before).cast("double")
-                / F.nullif(F.count(value).over(before), F.lit(0)),
+                "forecast_mean": F.sum(exact(value)).over(before).cast("double")
+                / F.nullif(F.count(exact(value)).over(before), F.lit(0)),
                 # Three values at most, so a list per row is bounded.
                 "_values": F.array_sort(F.collect_list(value).over(before)),
             }
@@ -77,11 +81,11 @@ def forecast(monthly: DataFrame, by: Sequence[str], value: str) -> DataFrame:
 def trend(monthly: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """Change against the month before and the same month a year before."""
 
-    exact = F.col(value).cast(MONEY)
+    figure = exact(value)
 
     def change(months_back: int):
-        earlier = F.max(exact).over(_months(by, -months_back, -months_back))
-        return (exact - earlier).cast("double")
+        earlier = F.max(figure).over(_months(by, -months_back, -months_back))
+        return (figure - earlier).cast("double")
 
     return (
         monthly.withColumn("_month", month_index(F.col("month")))

@@ -32,13 +32,28 @@ def gate(df: DataFrame, rules: dict) -> Gated:
     return Gated(passed, quarantine, quality.gate_summary(checked, list(rules)))
 
 
+def existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """A written table, or None where nothing has been written yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def append_once(df: DataFrame, path: str, key: Sequence[str] = ()) -> None:
+    """Append held-back rows, each content once; ``row_id`` keeps a repeat from adding any."""
+    keyed = df.withColumn("row_id", quality.key_uuid([F.col(name) for name in key or df.columns]))
+    once = settle(keyed.dropDuplicates(["row_id"]), "held-back")
+    loaded = existing(df.sparkSession, path)
+    new = once if loaded is None else quality.not_loaded(once, loaded, ["row_id"])
+    new.write.mode("append").parquet(path)
+
+
 def append_new(df: DataFrame, path: str, date: str, key: str) -> None:
     """Append the rows whose key the table lacks, so a repeat adds nothing."""
-    spark = df.sparkSession
-    try:
-        loaded = spark.read.parquet(path)
-    except AnalysisException:
-        loaded = None
+    loaded = existing(df.sparkSession, path)
     if loaded is not None:
         # The key fixes the month, so only the batch's own months are read.
         months = [row[0] for row in df.select(sinks.month_of(date)).distinct().collect()]
@@ -74,8 +89,9 @@ def ingest_statements(
     ledger, unplaced = quality.split_errors(rows)
     decided = gate(ledger_entries(ledger.drop("record")), {rule: LEDGER_RULES[rule]() for rule in rules})
     append_new(decided.passed, f"{table}/ledger", "post_date", "transaction_id")
-    decided.quarantine.write.mode("append").parquet(f"{table}/ledger_quarantine")
-    unplaced.select(FILE_COLUMN, "record", "error").write.mode("append").parquet(f"{table}/ledger_unplaced")
+    append_once(decided.quarantine, f"{table}/ledger_quarantine", ["transaction_id"])
+    unplaced = unplaced.withColumn("record", text.mask_personal_data(F.col("record")))
+    append_once(unplaced.select(FILE_COLUMN, "record", "error"), f"{table}/ledger_unplaced")
     return decided
 
 
@@ -92,11 +108,11 @@ def ingest_messages(spark: SparkSession, folder: str, pattern: str, table: str)
     keyed = captured.withColumn("bill_id", quality.key_uuid(content))
     once = settle(quality.keep_first(keyed, ["bill_id"], ["received_ts", "path"]), "bills-once")
     append_new(once, f"{table}/bills_raw", "date", "bill_id")
-    masked = once.withColumn("safe_text", text.mask_personal_data(F.col("raw_body_text")))
-    append_new(masked.drop("raw_body_text"), f"{table}/bills", "date", "bill_id")
-    rejected.select("path", "received_ts", "error").write.mode("append").parquet(
-        f"{table}/bills_quarantine"
+    masked = once.withColumns(
+        {"safe_text": text.mask_personal_data(F.col("raw_body_text")), "subject": text.mask_personal_data(F.col("subject"))}
     )
+    append_new(masked.drop("raw_body_text"), f"{table}/bills", "date", "bill_id")
+    append_once(rejected.select("path", "received_ts", "error"), f"{table}/bills_quarantine")
     return captured
 
 
@@ -112,9 +128,12 @@ def ingest_receipts(ocr_texts: DataFrame, table: str) -> DataFrame:
 
 def ingest_telemetry(
     spark: SparkSession, live_paths: str | Sequence[str], fixture_path: str, table: str,
-    components: Sequence[str] = ("router_ping", "docker_stats"),
+    components: Sequence[str] = ("router_ping", "docker_stats"), run: str = "1 hour",
 ) -> DataFrame:
-    """Samples of one run, with the fixture's row for a silent probe."""
+    """Every good sample, with the fixture's row for a probe silent during a run.
+
+    A run is a window of that length which holds a sample of any probe.
+    """
     lines = telemetry.project_samples(telemetry_json.read_sample_lines(spark, live_paths))
     arrays = telemetry.project_samples(
         telemetry_json.explode_samples(telemetry_json.read_sample_documents(spark, fixture_path))
@@ -123,24 +142,21 @@ def ingest_telemetry(
     fixture, bad_fixture = quality.split_errors(settle(arrays, "fixture-samples"))
     values = ["timestamp", "metric_name", "metric_value", "status", "raw_payload"]
     key = ["source_component"]
-    newest = telemetry.first_per_key(
-        live.withColumn("_age", -F.unix_micros("timestamp")), key, ["_age", "path"]
-    ).select(*key, *values)
-    expected = spark.range(1).select(
-        F.explode(F.array(*[F.lit(name) for name in components])).alias(key[0])
-    )
-    observed = settle(
-        telemetry.with_fallback(
-            expected, newest, fixture.select(*key, *values, "path", "position"), key, ["path", "position"]
-        ),
-        "observations",
-    )
-    resolved, unresolved = quality.split_errors(observed)
-    content = [F.col(name) for name in OBSERVATION_COLUMNS]
-    keyed = resolved.withColumn("log_id", quality.key_uuid(content))
-    append_new(keyed, f"{table}/telemetry", "timestamp", "log_id")
-    unresolved.write.mode("append").parquet(f"{table}/telemetry_unresolved")
-    bad_live.unionByName(bad_fixture, allowMissingColumns=True).write.mode("append").parquet(
-        f"{table}/telemetry_quarantine"
+    live = live.select(F.window("timestamp", run)["start"].alias("run"), *key, *values)
+    runs = settle(live.select("run").distinct(), "runs")
+    if runs.isEmpty():
+        runs = spark.range(1).select(F.lit(None).cast("timestamp").alias("run"))
+    expected = runs.select("run", F.explode(F.array(*[F.lit(name) for name in components])).alias(key[0]))
+    silent = expected.join(live.select("run", *key).distinct(), ["run", *key], "left_anti")
+    backup = telemetry.with_fallback(
+        silent, live.limit(0), fixture.select(*key, *values, "path", "position"), key, ["path", "position"], run=["run"]
     )
+    own = live.withColumns({"from_fixture": F.lit(False), "error": F.lit(None).cast("string")})
+    resolved, unresolved = quality.split_errors(settle(own.unionByName(backup), "observations"))
+    # A fixture row stands for a run, so the run is part of its key.
+    content = [*[F.col(name) for name in OBSERVATION_COLUMNS], F.when(F.col("from_fixture"), F.col("run"))]
+    keyed = quality.keep_first(resolved.withColumn("log_id", quality.key_uuid(content)), ["log_id"], ["run"])
+    append_new(settle(keyed, "telemetry-once"), f"{table}/telemetry", "timestamp", "log_id")
+    append_once(unresolved, f"{table}/telemetry_unresolved")
+    append_once(bad_live.unionByName(bad_fixture, allowMissingColumns=True).drop("sample"), f"{table}/telemetry_quarantine")
     return resolved

@@ -78,7 +78,8 @@ indexed AS (SELECT *, (year(month) * 12 + month(month))::BIGINT AS m FROM monthl
 WITH {_SIGNED_SQL}
 SELECT o_custkey, date_trunc('month', o_orderdate)::DATE AS month, sum(amount)::DOUBLE AS net_flow,
        sum(CASE WHEN amount > 0 THEN amount ELSE 0 END)::DOUBLE AS inflow,
-       sum(CASE WHEN amount < 0 THEN amount ELSE 0 END)::DOUBLE AS outflow, count(*) AS n_rows
+       sum(CASE WHEN amount < 0 THEN amount ELSE 0 END)::DOUBLE AS outflow, count(*) AS n_rows,
+       count(*) - count(amount) AS n_left_out
 FROM signed GROUP BY 1, 2
 """
 )

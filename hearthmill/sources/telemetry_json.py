@@ -35,13 +35,13 @@ def explode_samples(documents: DataFrame, document: str = "document") -> DataFra
     """One row per object of a JSON array, with its ``position``.
 
     Elements that are not objects are skipped. A document that is not JSON or
-    not an array yields one row with ``error`` set and no ``sample``.
+    not an array yields one row with ``error`` set and no ``sample``. Each
+    element is a variant of its own, so a document may be larger than one.
     """
-    parsed = documents.withColumn("_parsed", F.try_parse_json(document))
-    is_array = F.coalesce(_variant_type(F.col("_parsed")).startswith("ARRAY"), F.lit(False))
-    elements = F.when(is_array, F.try_variant_get("_parsed", "$", "array<variant>"))
-    error = F.when(F.col("_parsed").isNull(), F.lit("not JSON")).when(
-        ~is_array, F.lit("root is not a list")
+    parsed = documents.withColumn("_elements", F.from_json(document, "array<variant>"))
+    elements = F.col("_elements")
+    error = F.when(elements.isNull() & F.try_parse_json(document).isNull(), F.lit("not JSON")).when(
+        elements.isNull(), F.lit("root is not a list")
     )
     kept = [F.col(name) for name in documents.columns if name != document]
     exploded = parsed.select(

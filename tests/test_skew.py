@@ -51,9 +51,11 @@ def test_running_balance(spark, rows):
 
 
 @pytest.mark.parametrize("column", ["x", "cents"])
-@pytest.mark.parametrize("broadcast_rows", [0, 1000])
-def test_grouped_median(frame, rows, column, broadcast_rows, monkeypatch):
-    monkeypatch.setattr(medians, "_BROADCAST_ROWS", broadcast_rows)
+@pytest.mark.parametrize("broadcast_bytes", ["-1", "10m"])
+def test_grouped_median(spark, frame, rows, column, broadcast_bytes, request):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast_bytes)
     place = {"x": 4, "cents": 3}[column]
     groups = defaultdict(list)
     for row in rows:
