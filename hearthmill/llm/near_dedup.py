@@ -31,6 +31,7 @@ WIDTH = 48
 TREES = 10
 SMALL = 24
 DEPTH = 4
+PLACES = 1 << 18  # hash places in which the shingles of left-over sets are counted
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
 
@@ -212,6 +213,31 @@ def components(links: DataFrame) -> DataFrame:
         labels = lower.selectExpr("x", "next as label")
 
 
+def _rarest_prefix(members: DataFrame, percent: int) -> Column:
+    """The rarest shingles of a set ``s``, as many as a similarity of ``percent`` lets differ, and one more.
+
+    Any order of shingles that is the same for all sets finds every pair, so
+    it is enough to know roughly which ones are common: shingles of every
+    eighth set are counted in ``PLACES`` hash places, and equal counts go by
+    shingle. The counts have a fixed size, whatever the input.
+    """
+    counted = members.filter(F.pmod(F.xxhash64("id"), F.lit(8)) == 0).select(F.explode("s").alias("token"))
+    counted = counted.groupBy(F.pmod("token", F.lit(PLACES)).alias("at")).agg(F.count("*").alias("n")).toPandas()
+    seen = np.zeros(PLACES, np.int64)
+    seen[counted["at"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
+    shared = members.sparkSession.sparkContext.broadcast(seen)
+
+    @F.pandas_udf("array<long>")
+    def prefix(sets: pd.Series) -> pd.Series:
+        rarest = []
+        for tokens in sets:
+            kept = len(tokens) - -(-percent * len(tokens) // 100) + 1
+            rarest.append(tokens[np.lexsort((tokens, shared.value[tokens % PLACES]))[:kept]])
+        return pd.Series(rarest)
+
+    return prefix.asNondeterministic()("s")
+
+
 def left_over_pairs(left: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs still open in the large nodes that are left, found exactly.
 
@@ -228,12 +254,8 @@ def left_over_pairs(left: DataFrame, labels: DataFrame, sets: DataFrame, percent
     open_nodes = settle(main.filter("parts > 1").selectExpr("node", "main.component as main"), "open-nodes")
     members = named.join(open_nodes, "node").groupBy("id").agg(F.first("component").alias("component"), F.max(F.expr("component <> main")).alias("outside"))
     members = settle(members.join(sets, "id"), "open-members")
-    seen = members.select(F.explode("s").alias("token")).groupBy("token").agg(F.count("*").alias("seen"))
-    ranked = members.select("id", F.explode("s").alias("token")).join(seen, "token").groupBy("id").agg(
-        F.sort_array(F.collect_list(F.struct("seen", "token"))).alias("r")
-    )
-    prefix = ranked.select("id", F.size("r").alias("n"), F.posexplode(F.expr(f"slice(r, 1, size(r) - cast(ceil({percent} * size(r) / 100) as int) + 1).token")).alias("place", "token"))
-    prefix = settle(prefix.join(members.select("id", "component", "outside"), "id"), "prefixes")
+    prefix = members.select("id", "component", "outside", F.size("s").alias("n"), F.posexplode(_rarest_prefix(members, percent)).alias("place", "token"))
+    prefix = settle(prefix, "prefixes")
     outside = prefix.filter("outside").selectExpr("token", "id as a", "n - place as ar", "n as an", "component as ac")
     both = outside.join(prefix.selectExpr("token", "id as b", "n - place as br", "n as bn", "component as bc"), "token")
     enough = f"least(ar, br) * (100 + {percent}) >= {percent} * (an + bn)"
