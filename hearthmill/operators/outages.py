@@ -45,13 +45,19 @@ def outage_runs(
     """Unbroken runs of bad samples: a good sample ends the run.
 
     Bad samples with the same number of good ones before them form a run. The
-    number is accumulated per hour first, so a busy component is spread.
+    number is accumulated per hour and second first, so neither a busy
+    component nor a burst within an hour meets in one task.
     """
     marked = samples.withColumns(
-        {"_good": F.coalesce(good, F.lit(False)), "_hour": F.date_trunc("hour", timestamp)}
+        {
+            "_good": F.coalesce(good, F.lit(False)),
+            "_hour": F.date_trunc("hour", timestamp),
+            "_second": F.date_trunc("second", timestamp),
+        }
     )
     counted = running_sums(
-        marked, component, ["_hour"], [timestamp, tiebreak], {"_good_before": F.col("_good").cast("int")}
+        marked, component, ["_hour", "_second"], [timestamp, tiebreak],
+        {"_good_before": F.col("_good").cast("int")},
     )
     return (
         counted.where(~F.col("_good"))

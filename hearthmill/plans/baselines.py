@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthmill.operators.medians import grouped_median
+from hearthmill.operators.medians import grouped_median, histogram
 from hearthmill.sources.shared import settle
 
 # Scale of the median deviation to a standard deviation, and the
@@ -33,12 +33,19 @@ def mean_of(value: str) -> Column:
 
 
 def baseline(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Median as the main measure, mean and count beside it."""
-    middle = grouped_median(df, keys, value).select(
+    """Median as the main measure, mean and count beside it.
+
+    Sums and counts come with the histogram of the median, so the rows are
+    read twice in all.
+    """
+    bins = histogram(
+        df, keys, value, _sum=F.sum(exact(value)), _summed=F.count(exact(value)), _values=F.count(value)
+    )
+    middle = grouped_median(df, keys, value, bins=bins).select(
         F.struct(*keys).alias("_group"), F.col("median").cast("double").alias("median_value")
     )
-    means = df.groupBy(F.struct(*keys).alias("_group")).agg(
-        mean_of(value).alias("mean_value"), F.count(value).alias("n_values")
+    means = bins.groupBy("_group").agg(
+        (F.sum("_sum").cast("double") / F.sum("_summed")).alias("mean_value"), F.sum("_values").alias("n_values")
     )
     return means.join(middle, "_group", "left").select(
         "_group.*", "median_value", "mean_value", "n_values"

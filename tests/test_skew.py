@@ -64,6 +64,29 @@ def test_grouped_median(spark, frame, rows, column, broadcast_bytes, request):
     assert got == {k: (pytest.approx(statistics.median(v)), len(v)) for k, v in groups.items()}
 
 
+def test_median_of_a_narrow_band(spark, monkeypatch):
+    """Values that share one relative bin are parted by the bin's own range."""
+    monkeypatch.setattr(medians, "_SORTED_AT_ONCE", 50)
+    rng = random.Random(5)
+    cells = [("band", 1e9 + rng.random()) for _ in range(3001)] + [("pair", 1e9), ("pair", 1e9 + 1)] + [("same", 7.5)] * 400
+    frame = spark.createDataFrame(cells, "g string, v double").repartition(5)
+    groups = defaultdict(list)
+    for g, v in cells:
+        groups[g].append(v)
+    got = {r["g"]: (r["median"], r["n_values"]) for r in medians.grouped_median(frame, ["g"], "v").collect()}
+    assert got == {g: (pytest.approx(statistics.median(v), abs=1e-7), len(v)) for g, v in groups.items()}
+
+
+def test_outage_runs_in_one_burst(spark):
+    start = datetime(2026, 1, 1)
+    flags = [i % 7 < 3 for i in range(300)]
+    cells = [("a", i, start + timedelta(milliseconds=100 * i), good) for i, good in enumerate(flags)]
+    frame = spark.createDataFrame(cells, "c string, id int, at timestamp, good boolean").repartition(5)
+    got = outages.outage_runs(frame, ["c"], F.col("good"), "at", "id").collect()
+    assert sum(r["n_bad"] for r in got) == flags.count(False) and max(r["n_bad"] for r in got) == 4
+    assert len(got) == sum(1 for i, good in enumerate(flags) if not good and (i == 0 or flags[i - 1]))
+
+
 def test_median_of_extremes_and_nulls(spark):
     cells = [("a", v) for v in (1e300, -1e300, 0.0, -0.0, None, 5e-324)] + [("b", None), ("c", 2.0), ("d", 1.0), ("d", 4.0)]
     frame = spark.createDataFrame(cells, "g string, v double")
