@@ -27,16 +27,11 @@ def exact(value: str | Column) -> Column:
     return (F.col(value) if isinstance(value, str) else value).try_cast(EXACT)
 
 
-def mean_of(value: str) -> Column:
-    """Mean of an exact sum, so that it does not depend on the row order."""
-    return F.sum(exact(value)).cast("double") / F.count(exact(value))
-
-
 def baseline(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Median as the main measure, mean and count beside it.
 
-    Sums and counts come with the histogram of the median, so the rows are
-    read twice in all.
+    Exact sums, which do not depend on the row order, and counts come with the
+    histogram of the median, so the rows are read twice in all.
     """
     bins = histogram(
         df, keys, value, _sum=F.sum(exact(value)), _summed=F.count(exact(value)), _values=F.count(value)
