@@ -32,6 +32,7 @@ TREES = 10
 SMALL = 24
 DEPTH = 4
 PLACES = 1 << 18  # hash places in which the shingles of left-over sets are counted
+STRETCH = 1 << 10  # places whose counts travel in one row
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
 
@@ -213,19 +214,37 @@ def components(links: DataFrame) -> DataFrame:
         labels = lower.selectExpr("x", "next as label")
 
 
+def _shingle_counts(members: DataFrame) -> np.ndarray:
+    """How many shingles of all sets ``s`` fall into each of the ``PLACES`` hash places.
+
+    Each task counts its own sets into one row per stretch of places, so what
+    is shuffled depends on the number of tasks, not on the shingles.
+    """
+
+    def counted(batches):
+        seen = np.zeros(PLACES, np.int64)
+        for batch in batches:
+            for tokens in batch["s"]:
+                np.add.at(seen, tokens % PLACES, 1)
+        stretches = seen.reshape(-1, STRETCH)
+        yield pd.DataFrame({"stretch": np.arange(len(stretches)), "seen": list(stretches)})
+
+    def summed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"stretch": [key[0]], "seen": [rows["seen"].sum()]})
+
+    schema = "stretch long, seen array<long>"
+    totals = members.select("s").mapInPandas(counted, schema).groupBy("stretch").applyInPandas(summed, schema).toPandas()
+    return np.concatenate(list(totals.sort_values("stretch")["seen"])) if len(totals) else np.zeros(PLACES, np.int64)
+
+
 def _rarest_prefix(members: DataFrame, percent: int) -> Column:
     """The rarest shingles of a set ``s``, as many as a similarity of ``percent`` lets differ, and one more.
 
-    Any order of shingles that is the same for all sets finds every pair, so
-    it is enough to know roughly which ones are common: shingles of every
-    eighth set are counted in ``PLACES`` hash places, and equal counts go by
-    shingle. The counts have a fixed size, whatever the input.
+    Rarity is the count of a shingle's hash place over all left-over sets;
+    equal counts go by shingle. Any order of shingles that is the same for all
+    sets finds every pair. The counts have a fixed size, whatever the input.
     """
-    counted = members.filter(F.pmod(F.xxhash64("id"), F.lit(8)) == 0).select(F.explode("s").alias("token"))
-    counted = counted.groupBy(F.pmod("token", F.lit(PLACES)).alias("at")).agg(F.count("*").alias("n")).toPandas()
-    seen = np.zeros(PLACES, np.int64)
-    seen[counted["at"].to_numpy(np.int64)] = counted["n"].to_numpy(np.int64)
-    shared = members.sparkSession.sparkContext.broadcast(seen)
+    shared = members.sparkSession.sparkContext.broadcast(_shingle_counts(members))
 
     @F.pandas_udf("array<long>")
     def prefix(sets: pd.Series) -> pd.Series:
