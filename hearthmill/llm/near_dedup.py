@@ -32,7 +32,7 @@ TREES = 10
 SMALL = 24
 DEPTH = 4
 PLACES = 1 << 18  # hash places in which the shingles of left-over sets are counted
-STRETCH = 1 << 10  # places whose counts travel in one row
+STRETCH = 1 << 12  # places whose counts travel in one row
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
 
@@ -217,8 +217,8 @@ def components(links: DataFrame) -> DataFrame:
 def _shingle_counts(members: DataFrame) -> np.ndarray:
     """How many shingles of all sets ``s`` fall into each of the ``PLACES`` hash places.
 
-    Each task counts its own sets into one row per stretch of places, so what
-    is shuffled depends on the number of tasks, not on the shingles.
+    Each task counts its own sets and sends one row per stretch of places, so
+    the rows shuffled depend on the number of tasks, not on the shingles.
     """
 
     def counted(batches):
@@ -226,14 +226,17 @@ def _shingle_counts(members: DataFrame) -> np.ndarray:
         for batch in batches:
             for tokens in batch["s"]:
                 np.add.at(seen, tokens % PLACES, 1)
-        stretches = seen.reshape(-1, STRETCH)
-        yield pd.DataFrame({"stretch": np.arange(len(stretches)), "seen": list(stretches)})
+        at = np.flatnonzero(seen)
+        cuts = np.searchsorted(at, np.arange(STRETCH, PLACES, STRETCH))
+        yield pd.DataFrame({"stretch": np.arange(PLACES // STRETCH), "at": np.split(at, cuts), "n": np.split(seen[at], cuts)})
 
     def summed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"stretch": [key[0]], "seen": [rows["seen"].sum()]})
+        seen = np.zeros(STRETCH, np.int64)
+        np.add.at(seen, np.concatenate(list(rows["at"])) % STRETCH, np.concatenate(list(rows["n"])))
+        return pd.DataFrame({"stretch": [key[0]], "seen": [seen]})
 
-    schema = "stretch long, seen array<long>"
-    totals = members.select("s").mapInPandas(counted, schema).groupBy("stretch").applyInPandas(summed, schema).toPandas()
+    found = members.select("s").mapInPandas(counted, "stretch long, at array<long>, n array<long>")
+    totals = found.groupBy("stretch").applyInPandas(summed, "stretch long, seen array<long>").toPandas()
     return np.concatenate(list(totals.sort_values("stretch")["seen"])) if len(totals) else np.zeros(PLACES, np.int64)
 
 

@@ -5,6 +5,7 @@ import math
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,6 +107,15 @@ def test_near_dedup_finds_every_link_of_a_large_group(spark):
     assert got == {i: (root(i), len(sets[i])) for i in range(len(texts))}
 
 
+def test_shingle_counts_cover_every_set(spark):
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(-(2**62), 2**62, n)) for n in (0, 1, 3000, 7)] * 2
+    rows = spark.createDataFrame([(s.tolist(),) for s in sets], "s array<long>").repartition(3)
+    expected = np.bincount(np.concatenate(sets) % near_dedup.PLACES, minlength=near_dedup.PLACES)
+    assert (near_dedup._shingle_counts(rows) == expected).all()
+    assert not near_dedup._shingle_counts(rows.limit(0)).any()
+
+
 def test_contamination_awkward_rows(spark, docs, empty):
     items = spark.createDataFrame([(1, passage(50, 20)), (2, "One two"), (3, None), (4, ""), (None, "12 34"), (5, passage(50, 20))], "item_id long, text string")
     found = {r["doc_id"]: r for r in contamination.contaminated_words(docs, items).collect()}
