@@ -13,13 +13,24 @@ from hearthmill.streaming import telemetry as streaming
 _EVENTS = ["event_id", "ts", "user_id", "event_type", "value"]
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as a JSON-lines folder; every error is sent twice."""
+def event_stream(spark: SparkSession, sf_dir: str, deliveries: int = 1) -> DataFrame:
+    """Events as a JSON-lines folder; every error is sent twice.
+
+    Several ``deliveries`` are equal stretches of time, written one after the
+    other and read by batches of their own.
+    """
     events = table(spark, sf_dir, "events").select(*_EVENTS)
     repeated = events.unionByName(events.where("event_type = 'error'"))
     folder = fresh_path(spark, "event-lines")
-    repeated.write.option("timestampFormat", streaming.TIMESTAMP_FORMAT).json(folder)
-    return streaming.readable(streaming.read_sample_stream(spark, folder, events.schema), "ts")
+    since, until = events.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts")) + 1).first()
+    at = F.floor((F.unix_micros("ts") - F.lit(since)) * deliveries / F.lit((until or 0) - (since or 0)))
+    # As many files per delivery as cores; a batch takes the files of one delivery.
+    files = spark.sparkContext.defaultParallelism
+    for delivery in range(deliveries):
+        part = repeated.where(at == delivery).repartition(files) if deliveries > 1 else repeated
+        part.write.mode("append").option("timestampFormat", streaming.TIMESTAMP_FORMAT).json(folder)
+    samples = streaming.read_sample_stream(spark, folder, events.schema, files if deliveries > 1 else None)
+    return streaming.readable(samples, "ts")
 
 
 @query(
@@ -70,8 +81,8 @@ FROM grid g JOIN fixture f ON g.event_type = f.event_type
 """
 )
 def probe_stream_fallback(spark, sf_dir):
-    """Closed hourly windows per component, absent probes from the fixture."""
-    events = event_stream(spark, sf_dir).select(
+    """Closed hourly windows per component over several batches, absent probes from the fixture."""
+    events = event_stream(spark, sf_dir, deliveries=2).select(
         "event_id", "ts", "event_type", "_arrival", F.col("value").alias("metric_value"),
         F.when(F.col("event_type") == "error", "TIMEOUT").otherwise("ONLINE").alias("status"),
     )
@@ -85,7 +96,8 @@ def probe_stream_fallback(spark, sf_dir):
     )
     return streaming.run_to_table(
         closed, "append", "probe-windows",
-        lambda batch: streaming.fill_closed_windows(
-            batch, fixture.select("event_type"), fixture, "event_type"
+        lambda batch, reached: streaming.fill_closed_windows(
+            batch, fixture.select("event_type"), fixture, "event_type", filled_to=reached
         ),
+        reaches="window_start",
     )[0].withColumn("metric_value", F.round("metric_value", 10))

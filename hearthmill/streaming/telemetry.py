@@ -118,16 +118,24 @@ def probe_windows(
 
 
 def fill_closed_windows(
-    closed: DataFrame, expected: DataFrame, fixture: DataFrame, component: str, hours: int = 1
+    closed: DataFrame, expected: DataFrame, fixture: DataFrame, component: str, hours: int = 1,
+    filled_to: int | None = None,
 ) -> DataFrame:
     """Closed windows with the fixture's row where an expected probe is absent.
 
     An absent probe shows only once its window has closed, so this runs per
     batch of an append-mode stream. ``fixture`` has one row per component.
+    ``filled_to`` is the start of the last window filled by an earlier batch,
+    in microseconds; windows between it and this batch are filled too.
     """
-    first, last = closed.agg(F.min("window_start"), F.max("window_start")).first()
+    span = closed.agg(F.unix_micros(F.min("window_start")), F.unix_micros(F.max("window_start")))
+    first, last = span.first()
+    if first is not None and filled_to is not None:
+        first = filled_to + hours * 3_600_000_000
     step = F.make_dt_interval(hours=F.lit(hours))
-    starts = F.sequence(F.lit(first), F.lit(last), step) if first else F.array().cast("array<timestamp>")
+    starts = F.array().cast("array<timestamp>")
+    if first is not None:
+        starts = F.sequence(F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last)), step)
     grid = expected.select(component, F.explode(starts).alias("window_start"))
     backup = fixture.select(
         component,
@@ -143,22 +151,42 @@ def run_to_table(
     result: DataFrame,
     mode: str,
     label: str,
-    per_batch: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+    per_batch: Callable[[DataFrame, int | None], DataFrame] = lambda batch, reached: batch,
     state_partitions: int | None = None,
+    folder: str | None = None,
+    reaches: str | None = None,
 ) -> tuple[DataFrame, StreamingQuery]:
     """Process what is available; return what was written, and the query.
 
     Each batch overwrites its own folder, so a repeated batch leaves one copy.
     In complete mode the newest batch holds the whole result. State is spread
     over ``state_partitions``, by default one per core of the cluster.
+
+    ``folder`` keeps progress and output: a later run with the same folder goes
+    on where the last one ended. Without it each run starts anew. ``per_batch``
+    is also given the greatest ``reaches`` time, in microseconds, that earlier
+    batches have written.
     """
     spark = result.sparkSession
-    out = fresh_path(spark, label)
-    nothing = per_batch(spark.createDataFrame([], result.schema))
-    nothing.write.parquet(f"{out}/batch=-1")
+    folder = folder or fresh_path(spark, label)
+    out, marks = f"{folder}/rows", f"{folder}/reached"
+    nothing = per_batch(spark.createDataFrame([], result.schema), None)
+    nothing.write.mode("ignore").parquet(f"{out}/batch=-1")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        per_batch(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        own, reached = f"{out}/batch={batch_id}", None
+        if reaches:
+            # Written first, so that steps which read the batch twice do not compute it twice.
+            taken = f"{folder}/taken/batch={batch_id}"
+            batch.write.mode("overwrite").parquet(taken)
+            batch = spark.read.schema(result.schema).parquet(taken)
+            if batch_id:
+                reached = spark.read.parquet(f"{marks}/batch={batch_id - 1}").first()[0]
+        per_batch(batch, reached).write.mode("overwrite").parquet(own)
+        if reaches:
+            latest = spark.read.schema(nothing.schema).parquet(own).agg(F.unix_micros(F.max(reaches)).alias("at"))
+            latest = latest.select(F.coalesce("at", F.lit(reached).cast("bigint")).alias("at"))
+            latest.write.mode("overwrite").parquet(f"{marks}/batch={batch_id}")
 
     # A query keeps the settings and the number of state partitions it starts with.
     partitions = str(state_partitions or spark.sparkContext.defaultParallelism)
@@ -168,7 +196,7 @@ def run_to_table(
         spark.conf.set(setting, value)
     query = (
         result.writeStream.outputMode(mode)
-        .option("checkpointLocation", fresh_path(spark, f"{label}-progress"))
+        .option("checkpointLocation", f"{folder}/progress")
         .trigger(availableNow=True)
         .foreachBatch(write)
         .start()

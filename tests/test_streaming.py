@@ -78,6 +78,30 @@ def test_sessions(spark, tmp_path):
     ]
 
 
+def probe_run(spark, tmp_path):
+    samples = stream(spark, tmp_path / "in", files_per_batch=1)
+    samples = samples.withColumns({"metric_value": F.lit(1.0), "status": F.lit("ONLINE")})
+    closed = streaming.probe_windows(samples, "component", F.col("good"), "ts")
+    fixture = spark.createDataFrame([("a", 7.0, "BACKUP")], "component string, metric_value double, status string")
+    fill = lambda batch, reached: streaming.fill_closed_windows(batch, fixture.select("component"), fixture, "component", filled_to=reached)
+    return streaming.run_to_table(closed, "append", "probe", fill, folder=str(tmp_path / "run"), reaches="window_start")[0]
+
+
+def test_absent_windows_between_batches_and_runs(spark, tmp_path):
+    start = datetime(2026, 1, 1)
+    deliveries = [[0, 1, 2], [5, 6, 7], [52], [60], [130]]
+    for place, hours in enumerate(deliveries):
+        if place == 3:  # the stream stops here and starts again
+            probe_run(spark, tmp_path)
+        write(tmp_path / "in", f"{place}.json", [(h, start + timedelta(hours=h), "a", True) for h in hours])
+        os.utime(tmp_path / "in" / f"{place}.json", (1e9 + place, 1e9 + place))
+    rows = probe_run(spark, tmp_path).collect()
+    hours = {round((r["window_start"] - start).total_seconds() / 3600): r["status"] for r in rows}
+    assert sorted(hours) == list(range(61)) and len(rows) == 61
+    assert {h for h, status in hours.items() if status == "ONLINE"} == {0, 1, 2, 5, 6, 7, 52, 60}
+    assert sorted(map(repr, probe_run(spark, tmp_path).collect())) == sorted(map(repr, rows))
+
+
 def test_empty_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
     result = streaming.uptime_stream(stream(spark, tmp_path / "in"), ["component"], F.col("good"), "ts")
