@@ -35,6 +35,16 @@ def shingles(tokens: str, gram: int) -> Column:
     )
 
 
+def _short_spots(tokens: str, length: int) -> Column:
+    """Places and shingles of ``length`` words; a text of just that length has it as its whole shingle already."""
+    parts = ", ".join(f"get({tokens}, i + {k})" for k in range(length))
+    return F.expr(
+        f"if(size({tokens}) > {length}, transform(sequence(0, size({tokens}) - {length}), "
+        f"i -> struct(i as place, concat_ws(' ', {parts}) as shingle, false as whole)), "
+        f"cast(array() as array<struct<place: int, shingle: string, whole: boolean>>))"
+    )
+
+
 def _windows(items: DataFrame, width: int) -> DataFrame:
     """Distinct windows: window (words joined by blanks), length; and which items hold them."""
     cut = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), words(F.col("text").cast("string")).alias("w"))
@@ -59,15 +69,19 @@ def contaminated_words(docs: DataFrame, items: DataFrame, width: int = 13, gram:
     patterns = settle(patterns.select("window", "length", shingles("w", gram).alias("pattern")), "window-shingles")
     window_shingles = patterns.select("window", F.posexplode("pattern").alias("offset", "shingle"))
     wanted = settle(window_shingles.select("shingle").distinct(), "wanted-shingles")
+    # A window below gram words is one shorter shingle; documents are cut into shingles of these lengths too.
+    short = sorted(r["length"] for r in patterns.filter(F.col("length") < gram).select("length").distinct().collect())
 
     own = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
     cut = own.select("doc_id", known("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"), words(F.col("text")).alias("w"))
     # A document without words leaves one empty shingle, so that each row of docs is seen at place 0.
-    placed = cut.select(
-        "doc_id", "id", "text_hash", F.size("w").alias("n_words"),
-        F.posexplode(F.when(F.size("w") == 0, F.array(F.lit(""))).otherwise(shingles("w", gram))).alias("place", "shingle"),
-    )
-    met = placed.join(wanted.withColumn("known", F.lit(True)), "shingle", "left").filter("place = 0 or known")
+    whole = F.transform(
+        F.when(F.size("w") == 0, F.array(F.lit(""))).otherwise(shingles("w", gram)),
+        lambda s, i: F.struct(i.alias("place"), s.alias("shingle"), F.lit(True).alias("whole")),
+    )
+    spots = F.concat(whole, *[_short_spots("w", length) for length in short]) if short else whole
+    placed = cut.select("doc_id", "id", "text_hash", F.size("w").alias("n_words"), F.inline(spots))
+    met = placed.join(wanted.withColumn("known", F.lit(True)), "shingle", "left").filter("place = 0 and whole or known")
     met = settle(met, "met-shingles")
 
     rarity = met.filter("known").groupBy("shingle").agg(F.count("*").alias("seen"))
@@ -81,12 +95,13 @@ def contaminated_words(docs: DataFrame, items: DataFrame, width: int = 13, gram:
     start = F.col("place") - F.col("offset")
     fits = (start >= 0) & (start + F.col("length") <= F.col("n_words"))
     candidates = met.filter("known").join(prefix, "shingle", "left").groupBy("id", "text_hash").agg(
-        F.sort_array(F.collect_set(F.struct("place", "shingle"))).alias("spots"),
+        F.sort_array(F.collect_set(F.when(F.col("whole"), F.struct("place", "shingle")))).alias("spots"),
         F.collect_set(F.when(fits, F.struct(start.alias("start"), "length", "window", "pattern"))).alias("asked"),
     )
     # A window occurs where all its shingles stand one after the other: compared word by word, not by hash.
+    # A window of one shingle has been compared by the join.
     at = "slice(spots, greatest(array_position(transform(spots, s -> s.place), a.start), 1), size(a.pattern))"
-    occurs = f"array_position(transform(spots, s -> s.place), a.start) > 0 and {at}.shingle = a.pattern and element_at({at}.place, -1) = a.start + size(a.pattern) - 1"
+    occurs = f"size(a.pattern) = 1 or array_position(transform(spots, s -> s.place), a.start) > 0 and {at}.shingle = a.pattern and element_at({at}.place, -1) = a.start + size(a.pattern) - 1"
     verified = (
         candidates.filter("size(asked) > 0")
         .withColumn("found", F.expr(f"filter(asked, a -> {occurs})"))
@@ -105,7 +120,7 @@ def contaminated_words(docs: DataFrame, items: DataFrame, width: int = 13, gram:
     )
     hits = settle(verified.select("id", "text_hash", "n_hit").join(ids, ["id", "text_hash"]), "hits")
     return (
-        met.filter("place = 0").select("doc_id", "id", "text_hash", "n_words")
+        met.filter("place = 0 and whole").select("doc_id", "id", "text_hash", "n_words")
         .join(hits, ["id", "text_hash"], "left")
         .select("doc_id", "text_hash", F.col("n_words").cast("long").alias("n_words"), F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), "item_ids")
     )

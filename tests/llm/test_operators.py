@@ -129,6 +129,19 @@ def test_contamination_awkward_rows(spark, docs, empty):
     assert contamination.contaminated_words(docs, items.limit(0)).agg(F.sum("n_hit")).first()[0] == 0
 
 
+def test_contamination_finds_short_items_in_longer_texts(spark):
+    items = spark.createDataFrame([(1, "one"), (2, "one two"), (3, "One, two three"), (4, "four five six seven"), (5, "absent"), (6, "two three")], "item_id long, text string")
+    texts = ["say one two three four", "a two three", "one", "one two one two", "x y three four five six seven one two", "two one", "one two three", "no item here at all", "", "one one"]
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["item_ids"]) for r in contamination.contaminated_words(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), items).collect()}
+    windows = {"1": ["one"], "2": ["one", "two"], "3": ["one", "two", "three"], "4": "four five six seven".split(), "5": ["absent"], "6": ["two", "three"]}
+    for i, text in enumerate(texts):
+        w = text.split()
+        at = [(k, s) for k, v in windows.items() for s in range(len(w)) if w[s : s + len(v)] == v]
+        hit = {p for k, s in at for p in range(s, s + len(windows[k]))}
+        assert got[i] == (len(w), len(hit), sorted({k for k, _ in at}) or None), text
+    assert len(got) == len(texts)
+
+
 def test_language_labels_words_of_switched_text(spark, docs, empty):
     tables = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     field = language.fit(language.training_rows(tables.where("doc_id % 2 = 0")))
