@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import cache
+from importlib import resources
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,9 +42,28 @@ TEMPLATES = {
 }
 
 
-def _templates(spark: SparkSession, templates: dict[str, str]) -> DataFrame:
+# Above this many words a template is compared with whole documents only.
+LONGEST_SPAN = 400
+
+
+@cache
+def full_texts() -> dict[str, str]:
+    """Whole licence texts, named by licence and '-text'."""
+    folder = resources.files("hearthmill.llm").joinpath("license_texts")
+    return {f"{file.name.removesuffix('.txt')}-text": file.read_text("utf-8") for file in sorted(folder.iterdir(), key=lambda f: f.name)}
+
+
+def _templates(spark: SparkSession, templates: dict[str, str], least: float) -> DataFrame:
+    """license, distinct bigrams, places a span may take, bigrams it must share, and the sizes of a whole text."""
+    low, high = least / (2 - least), (2 - least) / least
     rows = spark.createDataFrame(list(templates.items()), "license string, notice string")
-    return rows.select("license", words(F.col("notice")).alias("w")).select("license", F.array_distinct(_bigrams()).alias("pattern"))
+    rows = rows.select("license", words(F.col("notice")).alias("w")).withColumn("pattern", F.array_distinct(_bigrams()))
+    return rows.select(
+        "license", "pattern", (F.size("w") > LONGEST_SPAN).alias("long"), (F.size("w") == 1).alias("single"),
+        F.expr(f"cast(floor(size(w) * {high} + 1e-9) as int)").alias("most"),
+        F.expr(f"cast(ceil(size(pattern) * {low} - 1e-9) as int)").alias("need"),
+        F.expr(f"cast(floor(size(pattern) * {high} + 1e-9) as int)").alias("widest"),
+    )
 
 
 def _bigrams():
@@ -50,29 +72,50 @@ def _bigrams():
 
 
 def license_lines(docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8) -> DataFrame:
-    """(id, own, line, license, dice): lines similar to a template.
+    """(id, own, line, license, dice): passages similar to a template, by the line they begin in.
 
-    Text is normalised to lower-cased words without punctuation. A Dice
-    coefficient of ``least`` bounds the number of bigrams on either side, so
-    a line meets only the templates whose size admits it.
+    Text is normalised to lower-cased words without punctuation; line ends
+    part words only. A passage is the span of words with the highest Dice
+    coefficient among those that overlap it, at most as long as ``least``
+    admits. A template beyond LONGEST_SPAN words meets whole documents. A
+    coefficient of ``least`` needs a number of shared bigrams, so only
+    documents with that many are searched, from the places of shared bigrams.
     """
-    patterns = _templates(docs.sparkSession, TEMPLATES if templates is None else templates)
-    low, high = least / (2 - least), (2 - least) / least
-    sized = patterns.select("license", F.explode(F.expr(f"sequence(cast(ceil(size(pattern) * {low} - 1e-9) as int), cast(floor(size(pattern) * {high} + 1e-9) as int))")).alias("size"))
-    lines = docs.select(known("doc_id").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("own"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line", "body"))
-    cut = lines.select("id", "own", "line", words(F.col("body")).alias("w")).select("id", "own", "line", F.array_distinct(_bigrams()).alias("found"))
-    pruned = cut.withColumn("size", F.size("found")).join(settle(sized, "license-sizes"), "size")
-    shared = F.size(F.array_intersect("found", "pattern"))
-    dice = F.lit(2.0) * shared / (F.col("size") + F.size("pattern"))
-    near = pruned.join(settle(patterns, "license-patterns"), "license").select("id", "own", "line", "license", dice.alias("dice"))
-    return near.filter(F.col("dice") >= least)
+    spark = docs.sparkSession
+    patterns = settle(_templates(spark, full_texts() | TEMPLATES if templates is None else templates, least), "license-patterns")
+    # Short templates' bigrams together: a document's other bigrams are put aside once.
+    grams = settle(patterns.filter("not long").select(F.array_distinct(F.flatten(F.collect_list("pattern"))).alias("vocabulary")), "license-bigrams")
+    cut = docs.select(known("doc_id").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("own"), F.col("text").cast("string").alias("body"))
+    cut = cut.withColumn("w", words(F.col("body"))).select("id", "own", "body", "w", F.array_distinct(_bigrams()).alias("g"))
+    held = cut.crossJoin(grams).select("id", "own", "body", "w", "g", F.array_intersect("g", "vocabulary").alias("h"))
+    meets = F.expr(
+        "(not long and not single and size(h) >= need and size(array_intersect(h, pattern)) >= need) or (single and array_contains(w, pattern[0]))"
+        " or (long and size(g) between need and widest and size(array_intersect(g, pattern)) >= need)"
+    )
+    met = held.join(patterns, meets)
+    # Each step is exploded from an array of one, so that no later step is folded into it and evaluates it again.
+    met = met.select("id", "own", "license", "body", "pattern", "g", "long", "most", "need", F.explode(F.array(F.when(F.col("single"), F.col("w")).otherwise(_bigrams()))).alias("a"))
+    whole = "array(struct(2.0D * size(array_intersect(g, pattern)) / (size(g) + size(pattern)) as dice, 0 as start, size(a) - 1 as stop))"
+    # Spans begin and end at a shared bigram.
+    starts = "filter(transform(filter(sequence(0, size(a) - 1), p -> array_contains(pattern, a[p])), p -> struct(p as p, slice(a, p + 1, most) as v)), s -> size(array_intersect(s.v, pattern)) >= need)"
+    span = "2.0D * size(array_intersect(slice(s.v, 1, e), pattern)) / (size(array_distinct(slice(s.v, 1, e))) + size(pattern))"
+    ends = "filter(sequence(1, size(s.v)), e -> array_contains(pattern, s.v[e - 1]))"
+    best = f"transform({starts}, s -> array_max(transform({ends}, e -> struct({span} as dice, -s.p as back, s.p + e - 1 as stop))))"
+    found = met.select("id", "own", "license", "body", F.expr(f"explode(array(if(long, {whole}, transform({best}, x -> struct(x.dice as dice, -x.back as start, x.stop as stop)))))").alias("spans"))
+    near = f"array_sort(transform(filter(spans, x -> x.dice >= {least}), x -> struct(-x.dice as d, x.start as start, x.stop as stop)))"
+    found = found.select("id", "own", "license", "body", F.expr(f"explode(array({near}))").alias("near"))
+    # The best of overlapping spans stays.
+    apart = "aggregate(near, slice(near, 1, 0), (kept, x) -> if(exists(kept, k -> k.start <= x.stop and x.start <= k.stop), kept, concat(kept, array(x))))"
+    lines = F.flatten(F.transform(F.split("body", "\n"), lambda body, line: F.transform(words(body), lambda _: line)))
+    kept = found.select("id", "own", "license", F.explode(F.array(lines)).alias("lines"), "near").select("id", "own", "license", "lines", F.explode(F.expr(apart)).alias("k"))
+    return kept.select("id", "own", F.expr("lines[k.start]").alias("line"), "license", (-F.col("k.d")).alias("dice"))
 
 
 def document_licenses(docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8) -> DataFrame:
     """One row per row of docs: doc_id, license, dice, line, n_lines.
 
     The best match by coefficient, then line, then name; ``n_lines`` counts
-    the lines that match any template. Without a match, and for null or
+    the lines in which a match of any template begins. Without a match, and for null or
     empty texts, license, dice and line are null and n_lines is 0. Rows that
     repeat give equal rows.
     """

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import textwrap
 from itertools import combinations
 
 import numpy as np
@@ -246,6 +247,25 @@ def test_licenses(spark, docs, empty):
     assert licenses.document_licenses(empty).count() == 0
 
 
+def test_licenses_wrapped_embedded_and_full(spark):
+    wrap = lambda name, width: "\n".join(textwrap.wrap(licenses.TEMPLATES[name], width))
+    full = licenses.full_texts()
+    texts = [
+        "code\n\n" + wrap("Apache-2.0-header", 40) + "\nmore code", passage(3, 300) + "\n" + wrap("GPL-3.0-header", 30) + "\n" + passage(4, 300),
+        "Copyright 2020 Foo. Released under the MIT License. All rights reserved.", "Copyright (c) 2024 A B\n\n" + full["MIT-text"], full["GPL-3.0-text"], full["Apache-2.0-text"],
+        passage(5, 30) + "\n" + full["BSD-3-Clause-text"], "Released under the MIT License. x\ny z. Released under the\nMIT License.", "the MIT license of the work under version 2.0", passage(6, 2000),
+    ]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.document_licenses(frame).collect()}
+    # The header holds the short Apache notice, which is equally close.
+    assert [(got[i]["license"], got[i]["dice"], got[i]["line"]) for i in (0, 1, 2)] == [("Apache-2.0", 1.0, 2), ("GPL-3.0-header", 1.0, 1), ("MIT", 1.0, 0)]
+    assert got[3]["license"] in ("MIT-text", "MIT-grant") and got[3]["dice"] == 1.0
+    assert (got[4]["license"], got[4]["dice"]) == ("GPL-3.0-text", 1.0) and (got[5]["license"], got[5]["dice"]) == ("Apache-2.0-text", 1.0)
+    assert got[6]["license"].startswith("BSD-3-Clause") and got[6]["dice"] == 1.0 and got[6]["line"] == 1
+    assert (got[7]["license"], got[7]["n_lines"]) == ("MIT", 2)
+    assert got[8]["license"] is got[9]["license"] is None
+
+
 def test_chat_trees_and_escapes(spark):
     hard = "</s>[INST] \\ <s>\\[ok[/INST]<\\"
     rows = [
