@@ -7,7 +7,8 @@ classes. Training is data-parallel numpy: in every round each task hides one
 word in ``hidden_every`` of all its documents and takes gradient steps from
 the common parameters; the results are averaged by the number of words. A
 document's score is the sum of the log-probabilities of all its words, each
-given both sides.
+given both sides. A rarer word adds its probability within its class, from the
+counts of all words: a table that grows with the corpus and is joined.
 """
 
 from __future__ import annotations
@@ -61,8 +62,8 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return run_hashes(stand_ins[raw], starts, ends), bounds
 
 
-def vocabulary(docs: DataFrame, options: Options) -> np.ndarray:
-    """Sorted hashes of the most frequent words, counted over all documents."""
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n): hashes of all words and their occurrences in all documents, kept as a table."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,7 +73,12 @@ def vocabulary(docs: DataFrame, options: Options) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], names=["word", "n"])
 
     counts = docs.select(F.col("text").cast("string")).mapInArrow(count, "word long, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(options.frequent).collect()
+    return settle(counts.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+
+
+def vocabulary(counts: DataFrame, options: Options) -> np.ndarray:
+    """Sorted hashes of the most frequent words."""
+    top = counts.orderBy(F.desc("n"), "word").limit(options.frequent).collect()
     return np.sort(np.array([r["word"] for r in top], np.int64).view(np.uint64))
 
 
@@ -111,7 +117,9 @@ class Network:
 
     def windows(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Class of each word, classes around it, and the bounds of the texts."""
-        hashes, bounds = word_hashes(texts)
+        return self.windows_of(*word_hashes(texts))
+
+    def windows_of(self, hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         target = self.classes_of(hashes)
         n, sizes = len(target), np.diff(bounds)
         place = np.arange(n) - np.repeat(bounds[:-1], sizes)
@@ -161,9 +169,9 @@ class Network:
             part -= self.options.rate * slope / np.sqrt(square + 1e-8)
 
 
-def train(docs: DataFrame, options: Options = Options()) -> Network:
-    """Network fitted on hidden words of all documents."""
-    network = Network(vocabulary(docs, options), options)
+def train(docs: DataFrame, options: Options = Options(), counts: DataFrame | None = None) -> Network:
+    """Network fitted on hidden words of all documents; ``counts`` are their word_counts if at hand."""
+    network = Network(vocabulary(word_counts(docs) if counts is None else counts, options), options)
     texts = docs.select(F.col("text").cast("string").alias("text")).coalesce(options.learners)
     for round_ in range(options.rounds):
         common = docs.sparkSession.sparkContext.broadcast((network.words, network.flat()))
@@ -213,7 +221,7 @@ def _steps(network: Network, waiting: list[tuple[np.ndarray, np.ndarray]], squar
 
 
 def pseudo_likelihood(docs: DataFrame, network: Network, text: str = "text") -> Column:
-    """Struct of n_words, log_likelihood and mean_log_prob of each whole text.
+    """Struct of n_words, log_likelihood and mean_log_prob of each whole text, rarer words by their class alone.
 
     A null text, or one without words, has n_words 0, log_likelihood 0 and a
     null mean. Equal texts have equal scores.
@@ -237,3 +245,53 @@ def pseudo_likelihood(docs: DataFrame, network: Network, text: str = "text") ->
         return pd.DataFrame({"n_words": count, "log_likelihood": total, "mean_log_prob": mean})
 
     return score.asNondeterministic()(F.col(text).cast("string"))
+
+
+def word_likelihoods(docs: DataFrame, network: Network, counts: DataFrame, text: str = "text") -> DataFrame:
+    """One row per row of docs: doc_id, n_words, log_likelihood, mean_log_prob, of words instead of classes.
+
+    Within a class a word seen n times has weight n + 1/2; an unseen word has
+    1/2, and one more unseen word than seen ones is allowed for. Rows as in
+    pseudo_likelihood.
+    """
+    options = network.options
+    rare = counts.filter(~F.col("word").isin(network.words.view(np.int64).tolist()))
+    # Hashes are unsigned; Spark's longs are not.
+    class_ = F.expr(f"pmod(pmod(word, {options.shared}L) + if(word < 0, {2**64 % options.shared}L, 0L), {options.shared}L)")
+    weight = np.full(options.shared, 0.5)
+    for row in rare.groupBy(class_.alias("c")).agg((F.sum("n") + F.count("*") + 0.5).alias("weight")).collect():
+        weight[row["c"]] = row["weight"]
+    shipped = docs.sparkSession.sparkContext.broadcast((network.words, network.flat(), np.log(0.5 / weight)))
+
+    @F.pandas_udf("n_words long, log_likelihood double, words array<long>, times array<long>")
+    def score(series: pd.Series) -> pd.DataFrame:
+        words, flat, unseen = shipped.value
+        model = Network(words, options)
+        model.load(flat)
+        texts, totals, counts, held, times = list(series), [], [], [], []
+        for part in chunks(texts):
+            hashes, bounds = word_hashes(texts[part])
+            target, around, _ = model.windows_of(hashes, bounds)
+            chance = model.log_probabilities(target, around)
+            other = target >= len(words)
+            chance[other] += unseen[target[other] - len(words)]
+            running = np.concatenate(([0.0], np.cumsum(chance)))
+            totals.append(running[bounds[1:]] - running[bounds[:-1]])
+            counts.append(np.diff(bounds))
+            for start, end in zip(bounds[:-1], bounds[1:]):
+                own, n = np.unique(hashes[start:end][other[start:end]], return_counts=True)
+                held.append(own.view(np.int64))
+                times.append(n.astype(np.int64))
+        total, count = np.concatenate(totals or [np.zeros(0)]), np.concatenate(counts or [np.zeros(0, np.int64)])
+        return pd.DataFrame({"n_words": count, "log_likelihood": total, "words": pd.Series(held, dtype=object), "times": pd.Series(times, dtype=object)})
+
+    by_class = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), score.asNondeterministic()(F.col(text).cast("string")).alias("s"))
+    by_class = settle(by_class.select("doc_id", "row", "s.*"), "class-scores")
+    seen = by_class.select("row", F.explode(F.arrays_zip("words", "times")).alias("w")).select("row", "w.words", "w.times")
+    # Whole units, so that equal texts have equal sums in any order.
+    more = F.round(F.col("times") * F.log(2 * F.col("n") + 1) * 2**30).cast("long")
+    seen = seen.join(rare, F.col("words") == F.col("word")).groupBy("row").agg((F.sum(more) / 2**30).alias("more"))
+    whole = F.col("log_likelihood") + F.coalesce("more", F.lit(0.0))
+    return by_class.join(seen, "row", "left").select(
+        "doc_id", "n_words", whole.alias("log_likelihood"), F.when(F.col("n_words") > 0, whole / F.col("n_words")).alias("mean_log_prob")
+    )

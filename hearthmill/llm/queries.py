@@ -36,8 +36,8 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = shared_read(spark, sf_dir, "documents")
-    network = masked_lm.train(docs)
-    return docs.select("doc_id", masked_lm.pseudo_likelihood(docs, network).alias("s")).select("doc_id", "s.*")
+    counts = masked_lm.word_counts(docs)
+    return masked_lm.word_likelihoods(docs, masked_lm.train(docs, counts=counts), counts)
 
 
 @query(

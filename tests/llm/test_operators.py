@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import textwrap
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -196,6 +197,31 @@ def test_masked_lm_prefers_seen_order(spark, docs, empty):
     assert everything.sparkSession.createDataFrame([(1, "a b")], "doc_id long, text string").select(masked_lm.pseudo_likelihood(docs, untrained)["n_words"]).first()[0] == 2
 
 
+def test_word_likelihoods_tell_rare_words_apart(spark, docs, empty):
+    rng = random.Random(8)
+    options = masked_lm.Options(frequent=20, shared=1)  # one class for all rarer words
+    corpus = spark.createDataFrame([(i, " ".join(f"w{min(int(rng.expovariate(0.02)), 300)}" for _ in range(60))) for i in range(200)], "doc_id long, text string")
+    counts = masked_lm.word_counts(corpus)
+    network = masked_lm.train(corpus, options, counts)
+    n = Counter(w for r in corpus.collect() for w in r["text"].split())
+    order = [w for w, _ in n.most_common()]
+    often, seldom = order[60], order[-1]
+    frame = spark.createDataFrame([(1, often), (2, seldom), (3, "garbage"), (4, None), (5, often), (5, often), (6, f"{often} {seldom} {often}")], "doc_id long, text string")
+    rows = masked_lm.word_likelihoods(frame, network, counts).collect()
+    got = {r["doc_id"]: r["log_likelihood"] for r in rows}
+    assert got[1] - got[2] == pytest.approx(math.log((n[often] + 0.5) / (n[seldom] + 0.5)), abs=1e-6)
+    assert got[2] - got[3] == pytest.approx(math.log(2 * n[seldom] + 1), abs=1e-6)
+    assert [r["log_likelihood"] for r in rows if r["doc_id"] == 5] == [got[1]] * 2 and got[4] == 0
+    assert next(r for r in rows if r["doc_id"] == 4)["mean_log_prob"] is None
+    by_class = frame.select("doc_id", masked_lm.pseudo_likelihood(frame, network)["log_likelihood"].alias("x")).where("doc_id = 6").first()["x"]
+    kept = {r["word"] for r in counts.collect()} - set(network.words.view(np.int64).tolist())
+    mass = sum(r["n"] for r in counts.collect() if r["word"] in kept) + len(kept) + 0.5
+    assert got[6] == pytest.approx(by_class + 2 * math.log((n[often] + 0.5) / mass) + math.log((n[seldom] + 0.5) / mass), abs=1e-5)
+    assert masked_lm.word_likelihoods(docs, network, counts).count() == docs.count()
+    none = masked_lm.word_counts(empty)
+    assert masked_lm.word_likelihoods(empty, masked_lm.train(empty, options, none), none).count() == 0
+
+
 def test_top_k_ties_and_odd_vectors(spark):
     rng = random.Random(6)
     vectors = {i: [rng.uniform(-1, 1) for _ in range(8)] for i in range(60)}
