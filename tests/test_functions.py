@@ -145,6 +145,19 @@ def test_html_text_native_equals_parser(values):
     assert native[2] == "link\ntwo\n lines"
 
 
+def test_html_first_construct_wins_and_all_references(values):
+    """Against the standard library, which shares no constants with the column form."""
+    from html import unescape
+
+    pages = ['<p>a</p><script>var s="<!--";</script><p>Total $9.99</p>', "<!-- <script> -->b<style>/*<script>*/</style>c", "<a title='<!--'>d</a>e"]
+    assert values(text.html_visible_text, pages) == ["a\nTotal $9.99", "b\nc", "d\ne"]
+    cells = [
+        "x&eacute;y &#233; &#xE9; &#X1F600; &#128512 z", "&#150;&#x80;&#129;|&#0;|&#xD800;|&#1114112;|&#99999999999999999999;|&#xFFFFFFFFFFFFFFFFFFFF;", "&#1;|&#xFFFE;|&#64976;|&#000065;",
+        "&nosuch; &amp;eacute; &#38;lt; &NotEqualTilde; &; &# &#x; &#xg;", "&Alpha;&beta;&copy", None,
+    ]
+    assert values(text.html_visible_text, cells) == [c if c is None else unescape(c) for c in cells]
+
+
 def test_html_entities():
     from hearthmill.operators.messages import visible_text
 
