@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthmill.llm import chat, contamination, language, licenses, line_dedup, masked_lm, mixing, near_dedup, top_k, urls
+from hearthmill.llm import chat, contamination, language, licenses, line_dedup, masked_lm, merkle, mixing, near_dedup, simhash, top_k, urls, whitening
 from hearthmill.llm.common import shared_read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,3 +184,69 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = urls.train(urls.labelled_urls(spark))
     pages = shared_read(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judged(pages, weights).select("page_id", "host", "path", "rule", "verdict", F.round("chance", 6).alias("chance"))
+
+
+@query()
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(shared_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def _merkle_sql(levels: int) -> str:
+    """SQL of the manifest: leaf, then level by level the parent runs of every source, and of the sources."""
+    field = "case when {0} is null then '-' else strlen({0}::varchar)::varchar || ':' || {0}::varchar end"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    fields = [field.format(name) for name in ("doc_id", "source", "lang", "n_chars", "text")]
+    leaf, shown = " || ".join(fields), " || ".join([*fields[:4], field.format(low)])
+    crc = "xor(list_reduce(string_split(doc_id::varchar, ''), lambda a, c: xor(a >> 8, t.t[(xor(a, ascii(c)) & 255) + 1]), 4294967295::bigint), 4294967295)"
+    parts = [
+        f"""t as (select list(v order by i) as t from (select i, list_reduce(range(8),
+               lambda a, k: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end, i::bigint) as v from range(256) r(i))),
+leaves as (select doc_id, sha256({leaf}) as leaf, case when {crc} % 5 = 0 then sha256({shown}) else sha256({leaf}) end as shown,
+                  coalesce('s' || source, 'n') as tree from documents, t),
+placed as (select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos from leaves),
+a0 as (select tree, pos, leaf as digest from placed)"""
+    ]
+
+    def reduced(name: str) -> None:
+        for k in range(levels):
+            parts.append(
+                f"""{name}{k + 1} as (select tree, pos // 16 as pos, case when any_value(n) = 1 then any_value(digest) else sha256(string_agg(digest, '' order by pos)) end as digest
+             from (select *, count(*) over (partition by tree) as n from {name}{k}) group by tree, pos // 16)"""
+            )
+
+    def steps(name: str) -> str:
+        found = [
+            f"""select {k} as level, tree, pos, coalesce(string_agg(digest, '' order by pos) over (partition by tree, pos // 16 order by pos rows between unbounded preceding and 1 preceding), '') as l,
+                coalesce(string_agg(digest, '' order by pos) over (partition by tree, pos // 16 order by pos rows between 1 following and unbounded following), '') as r
+                from (select *, count(*) over (partition by tree) as n from {name}{k}) where n > 1"""
+            for k in range(levels)
+        ]
+        return " union all ".join(found)
+
+    reduced("a")
+    parts.append(f"b0 as (select 'all' as tree, row_number() over (order by encode(tree)) - 1 as pos, digest, tree as own from a{levels})")
+    reduced("b")
+    parts.append(f"sa as ({steps('a')})")
+    parts.append(f"sb as ({steps('b')})")
+    parts.append(
+        f"""path as (select doc_id, leaf, shown, p.tree, p.pos, s.digest as subroot, r.digest as root, list_concat(
+               coalesce((select list({{'l': l, 'r': r}} order by level) from sa where sa.tree = p.tree and sa.pos = p.pos // (16 ** level)::bigint), []),
+               coalesce((select list({{'l': l, 'r': r}} order by level) from sb where sb.pos = s.pos // (16 ** level)::bigint), [])) as path
+               from placed p join b0 s on s.own = p.tree, b{levels} r)"""
+    )
+    return f"""with {", ".join(parts)}
+select doc_id, leaf, subroot, root, sha256(coalesce(array_to_string(list_transform(path, lambda x: x.l || x.r), ''), '')) as proof_sha256,
+       folded_root, folded_root = root as verified
+from (select *, list_reduce(list_concat([{{'l': shown, 'r': ''}}], path), lambda a, x: {{'l': sha256(x.l || a.l || x.r), 'r': ''}}).l as folded_root from path)"""
+
+
+@query(_merkle_sql(5))
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(shared_read(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = shared_read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whitened(rows).withColumn("deviation", F.col("deviation").cast("long"))
