@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import cache
 
 import numpy as np
 from pyspark.sql import Column, SparkSession
@@ -47,29 +48,58 @@ def random_words(seed: int, n: int) -> np.ndarray:
     return mixed(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(step) + np.uint64(start))
 
 
-def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 7) -> np.ndarray:
+def _base(seed: int) -> int:
+    return 0x5851F42D4C957F2D ^ (seed << 1)
+
+
+def _powers(factor: int, n: int) -> np.ndarray:
+    """1, factor, factor**2, ... as n 64-bit values."""
+    powers = np.full(n, factor, np.uint64)
+    powers[:1] = 1
+    np.multiply.accumulate(powers, out=powers)
+    return powers
+
+
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 7, powers: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
     """64-bit hash of each run values[start:end]; equal runs have equal hashes.
 
     ``values`` holds random 64-bit stand-ins of the symbols. Sums weighted with
     the powers of an odd number are taken from one running sum; the inverse
-    power moves each run to the origin.
+    power moves each run to the origin. ``powers`` are both, if at hand.
     """
     if not len(starts):
         return np.zeros(0, np.uint64)
-    base = 0x5851F42D4C957F2D ^ (seed << 1)
-    inverse = pow(base, -1, 2**64)
     n = len(values)
-    up = np.full(n, base, np.uint64)
-    up[:1] = 1
-    np.multiply.accumulate(up, out=up)
+    if powers is None:
+        powers = _powers(_base(seed), n), _powers(pow(_base(seed), -1, 2**64), n + 1)
+    up, down = powers
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(values * up, out=total[1:])
-    down = np.full(n + 1, inverse, np.uint64)
-    down[0] = 1
-    np.multiply.accumulate(down, out=down)
+    np.cumsum(values * up[:n], out=total[1:])
     sums = (total[ends] - total[starts]) * down[starts]
     return mixed(sums + (ends - starts).astype(np.uint64))
 
 
+@cache
+def _kept_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return _powers(_base(7), n), _powers(pow(_base(7), -1, 2**64), n + 1)
+
+
+def word_run_hashes(raw: np.ndarray, stand_ins: np.ndarray, starts: np.ndarray, ends: np.ndarray, most: int = 250_000) -> np.ndarray:
+    """run_hashes of stand_ins[raw], in turns of about ``most`` symbols, so that a long text needs no more memory at once.
+
+    Turns end between runs; only a run longer than ``most`` is a longer turn.
+    """
+    hashes = np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        first = starts[at]
+        stop = max(at + 1, int(np.searchsorted(ends, first + most, side="right")))
+        turn = stand_ins[raw[first : ends[stop - 1]]]
+        powers = _kept_powers(most) if len(turn) <= most else None
+        hashes[at:stop] = run_hashes(turn, starts[at:stop] - first, ends[at:stop] - first, powers=powers)
+        at = stop
+    return hashes
+
+
 def shared_read(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthmill.llm.common import chunks, random_words, run_hashes
+from hearthmill.llm.common import chunks, random_words, word_run_hashes
 from hearthmill.sources.shared import settle
 
 OFFSETS = (-2, -1, 1, 2)
@@ -59,7 +59,7 @@ def word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     before = np.concatenate(([False], inside[:-1]))
     starts, ends = np.flatnonzero(inside & ~before), np.flatnonzero(~inside & before)
     bounds = np.concatenate(([0], np.searchsorted(starts, np.cumsum([len(b) + 1 for b in bodies]))))
-    return run_hashes(stand_ins[raw], starts, ends), bounds
+    return word_run_hashes(raw, stand_ins, starts, ends), bounds
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -68,7 +68,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(0).to_pylist()
-            for part in chunks(texts, 8_000_000):
+            for part in chunks(texts):
                 hashes, counts = np.unique(word_hashes(texts[part])[0], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], names=["word", "n"])
 
@@ -119,42 +119,49 @@ class Network:
         """Class of each word, classes around it, and the bounds of the texts."""
         return self.windows_of(*word_hashes(texts))
 
-    def windows_of(self, hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def windows_of(self, hashes: np.ndarray, bounds: np.ndarray, pick: slice = slice(None)) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As windows(), of the words ``pick`` selects."""
         target = self.classes_of(hashes)
-        n, sizes = len(target), np.diff(bounds)
-        place = np.arange(n) - np.repeat(bounds[:-1], sizes)
-        size = np.repeat(sizes, sizes)
-        around = np.empty((len(OFFSETS), n), np.int64)
+        sizes = np.diff(bounds)
+        at = np.arange(len(target))[pick]
+        first, last = np.repeat(bounds[:-1], sizes)[pick], np.repeat(bounds[1:], sizes)[pick]
+        around = np.full((len(OFFSETS), len(at)), self.classes, np.int64)
         for k, offset in enumerate(OFFSETS):
-            within = (place + offset >= 0) & (place + offset < size)
-            around[k] = np.where(within, target[np.clip(np.arange(n) + offset, 0, max(n - 1, 0))] if n else 0, self.classes)
-        return target, around, bounds
-
-    def forward(self, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden values and the softmax's unnormalised exponentials."""
-        h = self.context[0][around[0]]
+            within = (at + offset >= first) & (at + offset < last)
+            around[k, within] = target[at[within] + offset]
+        return target[pick], around, bounds
+
+    def _outward(self) -> tuple[np.ndarray, bool]:
+        """Output weights with the bias as one more row, and whether exp of what they give must be bounded."""
+        # |h| is below 1, so the weights bound the sums.
+        return np.concatenate((self.out, self.bias[None])), (np.abs(self.out).sum(axis=0) + np.abs(self.bias)).max(initial=0) > 60
+
+    def forward(self, around: np.ndarray, outward: tuple[np.ndarray, bool], room: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Hidden values and the softmax's unnormalised exponentials, the latter in ``room`` if given."""
+        weights, wide = outward
+        h = self.context[0].take(around[0], axis=0)
         for k in range(1, len(OFFSETS)):
-            h += self.context[k][around[k]]
+            h += self.context[k].take(around[k], axis=0)
         h += self.hidden
         np.tanh(h, out=h)
-        z = h @ self.out
-        z += self.bias
-        np.clip(z, -60, 60, out=z)
+        z = np.matmul(np.concatenate((h, np.ones((len(h), 1), np.float32)), axis=1), weights, out=room)
+        if wide:
+            np.clip(z, -60, 60, out=z)
         np.exp(z, out=z)
         return h, z
 
     def log_probabilities(self, target: np.ndarray, around: np.ndarray) -> np.ndarray:
-        result = np.empty(len(target))
-        for at in range(0, len(target), 4096):
-            own = slice(at, at + 4096)
-            _, z = self.forward(around[:, own])
-            chosen = z[np.arange(len(z)), target[own]]
-            result[own] = np.log(chosen) - np.log(z.sum(axis=1))
+        result, outward = np.empty(len(target)), self._outward()
+        room, ones, step = np.empty((512, self.classes), np.float32), np.ones(self.classes, np.float32), np.arange(512)
+        for at in range(0, len(target), 512):  # what a processor's cache holds
+            own = target[at : at + 512]
+            _, z = self.forward(around[:, at : at + 512], outward, room[: len(own)])
+            result[at : at + 512] = np.log(z[step[: len(own)], own]) - np.log(z @ ones)
         return result
 
     def learn(self, target: np.ndarray, around: np.ndarray, squares: list[np.ndarray]) -> None:
         """One adaptive gradient step on some hidden words."""
-        h, z = self.forward(around)
+        h, z = self.forward(around, self._outward())
         z /= z.sum(axis=1, keepdims=True)
         z[np.arange(len(z)), target] -= 1.0
         z /= len(z)
@@ -187,9 +194,9 @@ def train(docs: DataFrame, options: Options = Options(), counts: DataFrame | Non
             for batch in batches:
                 bodies = batch.column(0).to_pylist()
                 for part in chunks(bodies):
-                    target, around, _ = own.windows(bodies[part])
                     pick = slice(shift * (options.hidden_every // 2), None, options.hidden_every)
-                    waiting.append((target[pick], around[:, pick]))
+                    target, around, _ = own.windows_of(*word_hashes(bodies[part]), pick)
+                    waiting.append((target, around))
                     held += len(waiting[-1][0])
                     seen += len(waiting[-1][0])
                     if held >= 1024:
