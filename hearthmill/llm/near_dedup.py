@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hearthmill.llm.common import chunks, known, mixed, random_words, run_hashes
+from hearthmill.llm.common import chunks, known, mixed, random_words, word_run_hashes
 from hearthmill.sources.shared import settle
 
 WIDTH = 48
@@ -33,6 +33,7 @@ SMALL = 24
 DEPTH = 4
 PLACES = 1 << 18  # hash places in which the shingles of left-over sets are counted
 STRETCH = 1 << 12  # places whose counts travel in one row
+SKETCH = 4  # 64-bit words of a left-over set's sketch
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
 
@@ -58,7 +59,7 @@ def shingle_sets(texts: list[str | None], gram: int) -> list[np.ndarray]:
     blank = BLANK[raw]
     before = np.concatenate(([True], blank[:-1]))
     starts, ends = np.flatnonzero(~blank & before), np.flatnonzero(blank & ~before)
-    word = run_hashes(_byte_stand_ins()[raw], starts, ends)
+    word = word_run_hashes(raw, _byte_stand_ins(), starts, ends)
     doc_ends = np.cumsum([len(b) + 1 for b in bodies])
     bounds = np.concatenate(([0], np.searchsorted(starts, doc_ends)))
     factors = random_words(24, gram) | np.uint64(1)
@@ -198,20 +199,23 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(id, component) for every id of a link: the smallest id it reaches.
 
-    Each round takes the smallest label among neighbours and then jumps to
-    that label's own label, so chains shrink by half or more.
+    Edges run from a larger id to a smaller one. In turn every id's larger
+    neighbours, then its smaller ones, are hung on its smallest neighbour.
+    Edges never grow in number, and those of a dense group fall together in
+    the first round, until each id has one edge, to the smallest id of all.
     """
-    edges = settle(links.selectExpr("a as x", "b as y").union(links.selectExpr("b as x", "a as y")).distinct(), "edges")
-    labels = settle(edges.groupBy("x").agg(F.least("x", F.min("y")).alias("label")), "labels")
+    edges = settle(links.select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).filter("x <> y").distinct(), "edges")
     while True:
-        seen = edges.join(labels.toDF("y", "near"), "y").groupBy("x").agg(F.min("near").alias("near"))
-        lower = labels.join(seen, "x").select("x", "label", F.least("label", "near").alias("next"))
-        jump = labels.toDF("to", "far")
-        lower = lower.join(jump, F.col("next") == F.col("to"), "left").select("x", "label", F.least("next", F.coalesce("far", "next")).alias("next"))
-        lower = settle(lower, "labels")
-        if lower.filter("next < label").isEmpty():
-            return lower.select(F.col("x").alias("id"), F.col("next").alias("component"))
-        labels = lower.selectExpr("x", "next as label")
+        ends = edges.select("x", F.lit(1).alias("up"), F.lit(0).alias("root")).union(edges.select("y", F.lit(0), F.lit(1)))
+        ends = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("root").alias("root"))
+        if ends.filter("up > 1 or (up = 1 and root = 1)").isEmpty():
+            return edges.selectExpr("x as id", "y as component").union(edges.selectExpr("y", "y").distinct())
+        least = edges.union(edges.select("y", "x")).groupBy("x").agg(F.min("y").alias("m"))
+        hung = edges.join(least.toDF("y", "m"), "y").select("x", F.least("y", "m").alias("y"))
+        hung = settle(hung.distinct(), "edges")
+        least = hung.groupBy("x").agg(F.min("y").alias("m"))
+        below = hung.join(least, "x").filter("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y"))
+        edges = settle(below.union(least.toDF("x", "y")).distinct(), "edges")
 
 
 def _shingle_counts(members: DataFrame) -> np.ndarray:
@@ -240,8 +244,18 @@ def _shingle_counts(members: DataFrame) -> np.ndarray:
     return np.concatenate(list(totals.sort_values("stretch")["seen"])) if len(totals) else np.zeros(PLACES, np.int64)
 
 
+def odd_sketch(tokens: np.ndarray) -> np.ndarray:
+    """``SKETCH`` words of bits, each bit the parity of how many shingles fall to it.
+
+    Bits of two sketches that differ are no more than the shingles in which
+    the two sets differ.
+    """
+    parity = np.bincount((tokens.astype(np.int64).view(np.uint64) >> np.uint64(56)).astype(np.int64) % (64 * SKETCH), minlength=64 * SKETCH) & 1
+    return np.packbits(parity.astype(bool), bitorder="little").view("<i8")
+
+
 def _rarest_prefix(members: DataFrame, percent: int) -> Column:
-    """The rarest shingles of a set ``s``, as many as a similarity of ``percent`` lets differ, and one more.
+    """(tokens, sketch) of a set ``s``: its rarest shingles, as many as a similarity of ``percent`` lets differ and one more, and its odd sketch.
 
     Rarity is the count of a shingle's hash place over all left-over sets;
     equal counts go by shingle. Any order of shingles that is the same for all
@@ -249,13 +263,13 @@ def _rarest_prefix(members: DataFrame, percent: int) -> Column:
     """
     shared = members.sparkSession.sparkContext.broadcast(_shingle_counts(members))
 
-    @F.pandas_udf("array<long>")
-    def prefix(sets: pd.Series) -> pd.Series:
+    @F.pandas_udf("tokens array<long>, sketch array<long>")
+    def prefix(sets: pd.Series) -> pd.DataFrame:
         rarest = []
         for tokens in sets:
             kept = len(tokens) - -(-percent * len(tokens) // 100) + 1
             rarest.append(tokens[np.lexsort((tokens, shared.value[tokens % PLACES]))[:kept]])
-        return pd.Series(rarest)
+        return pd.DataFrame({"tokens": pd.Series(rarest, dtype=object), "sketch": pd.Series([odd_sketch(t) for t in sets], dtype=object)})
 
     return prefix.asNondeterministic()("s")
 
@@ -267,7 +281,8 @@ def left_over_pairs(left: DataFrame, labels: DataFrame, sets: DataFrame, percent
     members outside the node's largest component are joined with all members
     by prefix: a similar pair shares one of the rarest shingles of either, as
     many as a similarity of ``percent`` lets differ, and one more. From the
-    first shared shingle on, both must be long enough for the overlap asked.
+    first shared shingle on, both must be long enough for the overlap asked,
+    and the sketches must not differ in more shingles than the similarity lets.
     """
     named = left.join(labels, "id", "left").select("node", "id", F.coalesce("component", "id").alias("component"))
     named = settle(named, "left-over")
@@ -276,15 +291,18 @@ def left_over_pairs(left: DataFrame, labels: DataFrame, sets: DataFrame, percent
     open_nodes = settle(main.filter("parts > 1").selectExpr("node", "main.component as main"), "open-nodes")
     members = named.join(open_nodes, "node").groupBy("id").agg(F.first("component").alias("component"), F.max(F.expr("component <> main")).alias("outside"))
     members = settle(members.join(sets, "id"), "open-members")
-    prefix = members.select("id", "component", "outside", F.size("s").alias("n"), F.posexplode(_rarest_prefix(members, percent)).alias("place", "token"))
-    prefix = settle(prefix, "prefixes")
-    outside = prefix.filter("outside").selectExpr("token", "id as a", "n - place as ar", "n as an", "component as ac")
-    both = outside.join(prefix.selectExpr("token", "id as b", "n - place as br", "n as bn", "component as bc"), "token")
+    prefix = members.select("id", "component", "outside", F.size("s").alias("n"), _rarest_prefix(members, percent).alias("p"))
+    bits = [F.get("p.sketch", F.lit(k)).alias(f"bits{k}") for k in range(SKETCH)]
+    prefix = settle(prefix.select("id", "component", "outside", "n", *bits, F.posexplode("p.tokens").alias("place", "token")), "prefixes")
+    side = lambda x: ["token", f"id as {x}", f"n - place as {x}r", f"n as {x}n", f"component as {x}c", *[f"bits{k} as {x}{k}" for k in range(SKETCH)]]
+    both = prefix.filter("outside").selectExpr(*side("a")).join(prefix.selectExpr(*side("b")), "token")
     enough = f"least(ar, br) * (100 + {percent}) >= {percent} * (an + bn)"
-    return both.filter(f"ac <> bc and {enough}").selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct()
+    apart = " + ".join(f"bit_count(a{k} ^ b{k})" for k in range(SKETCH))
+    like = f"(100 + {percent}) * ({apart}) <= (100 - {percent}) * (an + bn)"
+    return both.filter(f"ac <> bc and {enough} and {like}").selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct()
 
 
-def near_duplicates(docs: DataFrame, gram: int = 4, percent: int = 80) -> DataFrame:
+def near_duplicates(docs: DataFrame, gram: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of docs: doc_id, text_hash, n_shingles, component_id, component.
 
     ``component_id`` is the smallest doc_id reached over links of similarity
@@ -325,7 +343,7 @@ def near_duplicates(docs: DataFrame, gram: int = 4, percent: int = 80) -> DataFr
     )
 
 
-def drop_near_duplicates(docs: DataFrame, gram: int = 4, percent: int = 80) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, gram: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, that of the smallest doc_id; same columns.
 
     Documents without words stay. Of rows that repeat, and of groups without

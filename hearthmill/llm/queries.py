@@ -127,7 +127,7 @@ from d left join n using (doc_id) join (select a, min(b) as c from reach group b
 """
 )
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_dedup.near_duplicates(shared_read(spark, sf_dir, "documents"))
+    found = near_dedup.near_duplicates(shared_read(spark, sf_dir, "documents"), gram=4)
     return found.select("doc_id", "n_shingles", "component_id", F.expr("doc_id <=> component_id").alias("kept"))
 
 

@@ -105,7 +105,7 @@ def test_near_dedup_finds_every_link_of_a_large_group(spark):
         if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
             x, y = sorted((root(a), root(b)))
             label[y] = x
-    got = {r["doc_id"]: (r["component_id"], r["n_shingles"]) for r in near_dedup.near_duplicates(frame).collect()}
+    got = {r["doc_id"]: (r["component_id"], r["n_shingles"]) for r in near_dedup.near_duplicates(frame, gram=4).collect()}
     assert got == {i: (root(i), len(sets[i])) for i in range(len(texts))}
 
 
