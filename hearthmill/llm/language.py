@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from functools import cache
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -178,12 +179,22 @@ class Field:
         out[firsts] = settled / settled.sum(axis=1, keepdims=True)
         return out, expected
 
-    def predict(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Sum of the words' distributions per text, and the number of its words."""
+    def word_chances(self, texts: list[str]) -> tuple[Words, np.ndarray]:
+        """All words of the texts, and each one's distribution over the labels."""
         words = words_of(texts)
-        chance, _ = self.marginals(self.scores(words), words.line)
+        return words, self.marginals(self.scores(words), words.line)[0]
+
+    def predict(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sum of the words' distributions per text, sum of each word's own largest chance, and the number of words."""
+        words, chance = self.word_chances(texts)
         sums = [np.bincount(words.doc, chance[:, j], minlength=len(texts)) for j in range(len(self.labels))]
-        return np.stack(sums, axis=1), np.bincount(words.doc, minlength=len(texts))
+        own = np.bincount(words.doc, chance.max(axis=1), minlength=len(texts))
+        return np.stack(sums, axis=1), own, np.bincount(words.doc, minlength=len(texts))
+
+
+def _letter_runs(text: str) -> list[str]:
+    """The words that words_of() finds in a text."""
+    return ["".join(run) for letters, run in groupby(text.lower(), str.isalpha) if letters]
 
 
 def _spliced(rng: np.random.Generator, by_label: list[list[str]], n: int) -> tuple[list[str], list[list[int]]]:
@@ -212,8 +223,7 @@ def fit(rows: list[tuple[str, str]], options: FitOptions = FitOptions()) -> Fiel
     rng = np.random.default_rng(options.seed)
     by_label, frequent = [], []
     for label in labels:
-        split = [["".join(c for c in w if c.isalpha()) for w in text.lower().split()] for own, text in rows if own == label]
-        split = [[w for w in words if w] for words in split]
+        split = [_letter_runs(text) for own, text in rows if own == label]
         by_label.append([words for words in split if words] or [["x"]])
         joined = words_of([" ".join(words) for words in split])
         hashes, counts = np.unique(joined.whole, return_counts=True)
@@ -228,10 +238,15 @@ def fit(rows: list[tuple[str, str]], options: FitOptions = FitOptions()) -> Fiel
     for epoch in range(options.epochs):
         lines, owners = _spliced(rng, by_label, n_lines)
         for at in range(0, n_lines, 400):
-            words = words_of(lines[at : at + 400])
-            truth = np.concatenate([np.array(o) for o in owners[at : at + 400]])
-            if len(truth) != len(words.whole):  # a letter's lower case may hold a mark
+            batch = list(zip(lines[at : at + 400], owners[at : at + 400]))
+            words = words_of([line for line, _ in batch])
+            found = np.bincount(words.line, minlength=len(batch))
+            if any(len(owner) != n for (_, owner), n in zip(batch, found)):  # lowered once more, a letter may come apart
+                batch = [pair for pair, n in zip(batch, found) if len(pair[1]) == n]
+                words = words_of([line for line, _ in batch])
+            if not batch:
                 continue
+            truth = np.concatenate([np.array(owner) for _, owner in batch])
             chance, moves = field.marginals(field.scores(words), words.line, pairs=True)
             error = -chance
             error[np.arange(len(truth)), truth] += 1.0
@@ -275,30 +290,71 @@ def training_rows(docs: DataFrame, options: FitOptions = FitOptions(), keep: Col
 
 
 def language_column(docs: DataFrame, field: Field, text: str = "text") -> Column:
-    """Struct of lang_pred, score and n_words for each whole text.
+    """Struct of lang_pred, score, certainty and n_words for each whole text.
 
-    Null texts and texts without letters give ``und`` with score 0. Texts of
+    ``score`` is the mean chance of the text's language over its words,
+    ``certainty`` the mean of each word's own best chance: in a text that
+    mixes languages the first is low and the second high. Null texts and
+    texts without letters give ``und`` with score and certainty 0. Texts of
     any length are taken whole; a text is one row of work. Without any
-    learned language everything is ``und``.
+    learned language everything is ``und``. Equal texts, repeated rows
+    included, get equal values; of equally good languages the first by name is
+    chosen. No other column of docs is looked at.
     """
     shipped = docs.sparkSession.sparkContext.broadcast(field)
 
-    @F.pandas_udf("lang_pred string, score double, n_words long")
+    @F.pandas_udf("lang_pred string, score double, certainty double, n_words long")
     def label(series: pd.Series) -> pd.DataFrame:
         model, texts = shipped.value, [t or "" for t in series]
-        names, scores, counts = [], [], []
+        names, scores, certain, counts = [], [], [], []
         for part in chunks(texts):
             if not model.labels:
                 n = len(texts[part])
                 names += [UNDETERMINED] * n
                 scores += [0.0] * n
+                certain += [0.0] * n
                 counts += [0] * n
                 continue
-            sums, n = model.predict(texts[part])
+            sums, own, n = model.predict(texts[part])
             best = sums.argmax(axis=1)
             names += [model.labels[b] if c else UNDETERMINED for b, c in zip(best, n)]
             scores += np.clip(sums[np.arange(len(n)), best] / np.maximum(n, 1), 0, 1).tolist()
+            certain += np.clip(own / np.maximum(n, 1), 0, 1).tolist()
             counts += n.tolist()
-        return pd.DataFrame({"lang_pred": names, "score": scores, "n_words": counts})
+        return pd.DataFrame({"lang_pred": names, "score": scores, "certainty": certain, "n_words": counts})
 
     return label.asNondeterministic()(F.col(text))
+
+
+def spans_column(docs: DataFrame, field: Field, text: str = "text") -> Column:
+    """Array of (first_word, n_words, lang, score): the runs of equally labelled words of each text, in order.
+
+    Words are numbered from 0 over the whole text; a run does not go beyond a
+    line. ``score`` is the mean chance of the run's language. Texts without
+    letters, and null texts, have no runs; without any learned language no
+    text has.
+    """
+    shipped = docs.sparkSession.sparkContext.broadcast(field)
+
+    def runs(words: Words, chance: np.ndarray, names: list[str], n: int) -> list[list[dict]]:
+        found: list[list[dict]] = [[] for _ in range(n)]
+        if not len(words.doc):
+            return found
+        best = chance.argmax(axis=1)
+        changes = (np.diff(best) != 0) | (np.diff(words.doc) != 0) | (np.diff(words.line) != 0)
+        bounds = np.concatenate(([0], np.flatnonzero(changes) + 1, [len(best)]))
+        origin = np.searchsorted(words.doc, np.arange(n))
+        for first, last in zip(bounds[:-1], bounds[1:]):
+            doc, label = words.doc[first], best[first]
+            score = float(chance[first:last, label].mean())
+            found[doc].append({"first_word": int(first - origin[doc]), "n_words": int(last - first), "lang": names[label], "score": score})
+        return found
+
+    @F.pandas_udf("array<struct<first_word: long, n_words: long, lang: string, score: double>>")
+    def spans(series: pd.Series) -> pd.Series:
+        model, texts = shipped.value, [t or "" for t in series]
+        if not model.labels:
+            return pd.Series([[] for _ in texts], dtype=object)
+        return pd.Series([s for part in chunks(texts) for s in runs(*model.word_chances(texts[part]), model.labels, len(texts[part]))], dtype=object)
+
+    return spans.asNondeterministic()(F.col(text))

@@ -31,7 +31,8 @@ class Target:
     ``entropy`` is a fraction of that of equal weights. ``repeats`` bounds
     how often a source's tokens are used and wins over the entropy.
     ``budget`` is a number of tokens; None stands for as many tokens as
-    there are, and ``cover`` for the least budget that uses every document.
+    there are, and ``cover`` for the least budget that uses every document;
+    no source is then used more than ``repeats`` times as often as another.
     """
 
     entropy: float = 0.9
@@ -51,11 +52,12 @@ def _measures(totals: DataFrame, exponents: list[float], all_tokens: int, target
     probes = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(x)).alias("x")) for i, x in enumerate(exponents)]))
     share = F.col("t") / F.lit(float(all_tokens))
     raised = totals.select(share.alias("p"), probes.alias("e")).withColumn("u", F.pow("p", F.col("e.x")))
-    rows = raised.groupBy("e.i").agg(F.sum("u").alias("z"), F.sum(F.col("u") * F.log("u")).alias("ul"), F.max(F.col("u") / F.col("p")).alias("most")).collect()
+    rows = raised.groupBy("e.i").agg(F.sum("u").alias("z"), F.sum(F.col("u") * F.log("u")).alias("ul"), F.max(F.col("u") / F.col("p")).alias("most"), F.min(F.col("u") / F.col("p")).alias("least")).collect()
     budget = float(target.budget or all_tokens)
     found = {}
     for r in rows:
-        found[r["i"]] = (math.log(r["z"]) - r["ul"] / r["z"], r["most"] / r["z"] * budget / all_tokens)
+        repeats = r["most"] / r["least"] if target.cover else r["most"] / r["z"] * budget / all_tokens
+        found[r["i"]] = (math.log(r["z"]) - r["ul"] / r["z"], repeats)
     return [found[i] for i in range(len(exponents))]
 
 
@@ -79,7 +81,7 @@ def exponent(totals: DataFrame, all_tokens: int, sources: int, target: Target) -
     wanted = target.entropy * math.log(sources)
     natural, flat = _measures(totals, [1.0, 0.0], all_tokens, target)
     chosen = 1.0 if natural[0] >= wanted else bisect(lambda m: m[0] >= wanted)
-    if not target.cover and flat[1] > target.repeats and natural[1] <= target.repeats:
+    if flat[1] > target.repeats and natural[1] <= target.repeats:
         too_often = bisect(lambda m: m[1] > target.repeats)
         chosen = max(chosen, min(1.0, too_often + 16.0**-5))
     return chosen
@@ -105,8 +107,8 @@ def plan(docs: DataFrame, target: Target = Target()) -> tuple[DataFrame, DataFra
     raised = totals.withColumn("u", F.pow(share, F.lit(a)))
     sums = raised.agg(F.sum("u").alias("z"), F.max(F.col("t") / F.col("u")).alias("scarce")).first()
     if target.cover:
-        # Every source is used once at least, and none beyond the repeats.
-        uses = F.least(F.greatest(F.col("u") / F.col("t") * F.lit(sums["scarce"]), F.lit(1.0)), F.lit(float(target.repeats)))
+        # Every source is used once at least; the exponent keeps the others within the repeats.
+        uses = F.greatest(F.col("u") / F.col("t") * F.lit(sums["scarce"]), F.lit(1.0))
     else:
         uses = F.least(F.col("u") / F.lit(sums["z"]) * F.lit(float(target.budget or whole["t"])) / F.col("t"), F.lit(float(target.repeats)))
     sources = raised.select("key", "t", (F.col("u") / F.lit(sums["z"])).alias("weight"), F.round(uses, 9).alias("uses"))
