@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,12 +18,15 @@ from hearthmill.schemas import (
     SIGNED_LEDGER_MARKER,
     SPLIT_LEDGER_REQUIRED,
 )
+from hearthmill.sources.shared import fresh_path, settle
 from hearthmill.sources.statements import (
     BROKEN_COLUMN,
     FILE_COLUMN,
-    files_by_header,
-    read_layout,
-    read_lines,
+    cell_count,
+    file_headers,
+    header_columns,
+    read_records,
+    record_cells,
 )
 
 PROVENANCE_COLUMNS = [FILE_COLUMN, "received_ts"]
@@ -146,24 +150,66 @@ def _placed(rows: DataFrame) -> DataFrame:
     )
 
 
-def read_ledger(
-    spark: SparkSession, paths: str | Sequence[str], multi_line: bool = True
-) -> DataFrame:
+SIGNED, SPLIT, UNKNOWN = "signed", "split", "unknown"
+
+
+def _places(header: str) -> tuple[str, int, list[int]]:
+    """Layout of a file's header, its number of columns, and where the layout's columns stand."""
+    columns = header_columns(header)
+    if not has_known_layout(columns):
+        return UNKNOWN, len(columns), []
+    if is_signed(columns):
+        return SIGNED, len(columns), [columns.index(name) for name in SIGNED_LEDGER_HEADERS]
+    names = [text.snake_case(name) for name in columns]
+    return SPLIT, len(columns), [names.index(name) for name in SPLIT_LEDGER_REQUIRED]
+
+
+def _layouts(header: str) -> Column:
+    """_places of a column of headers, one per file."""
+
+    @F.pandas_udf("layout string, width int, places array<int>")
+    def places(headers: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([_places(header) for header in headers], columns=["layout", "width", "places"])
+
+    return places(header)
+
+
+def _named(rows: DataFrame, names: Sequence[str], width: int) -> DataFrame:
+    """Rows of one layout with its columns by name; a short row is padded."""
+    cells = rows.withColumn("cells", record_cells(F.col("record"), width))
+    own = [F.coalesce(F.get("cells", F.get("places", F.lit(i))), F.lit("")).alias(name) for i, name in enumerate(names)]
+    # A row longer than the header cannot be placed.
+    broken = F.when(cell_count(F.col("record")) > F.col("width"), F.col("record"))
+    return cells.select(*own, broken.alias(BROKEN_COLUMN), *PROVENANCE_COLUMNS)
+
+
+def read_ledger(spark: SparkSession, paths: str | Sequence[str], counts: Observation | None = None) -> DataFrame:
     """Statements of any known layout as ledger rows, or rows with an ``error``.
 
-    A row that does not fit its header, and every line of a file with an
-    unknown layout, is kept in ``record``. Each file is scanned once for its
-    header and once for its rows.
+    Every record meets its file's header in a join, so neither the plan nor
+    the driver grows with the number of files or headers. A row that does not
+    fit its header, and every record of a file with an unknown layout, is kept
+    in ``record``. ``counts`` gets the number of pending rows left out.
     """
-    parts, unknown = [], []
-    for columns, files in files_by_header(spark, paths).items():
-        if not has_known_layout(columns):
-            unknown += files
-            continue
-        rows = read_layout(spark, files, columns, multi_line)
-        parts.append(_placed(normalize_signed(rows) if is_signed(columns) else normalize_split(rows)))
-    if unknown:
-        parts.append(_rejected(read_lines(spark, sorted(unknown)), "record", "unknown layout"))
+    records = read_records(spark, paths)
+    headers = file_headers(spark, paths, records).withColumn("found", _layouts("header"))
+    headers = settle(headers.select(FILE_COLUMN, "received_ts", "at", "found.*"), "headers")
+    if headers.isEmpty():
+        raise FileNotFoundError(f"no statement with a header under {paths}")
+    width = headers.where(F.col("layout") != UNKNOWN).agg(F.max("width")).first()[0] or 1
+    rows = records.join(headers, FILE_COLUMN)
+    is_row = (F.col("layout") == UNKNOWN) | ((F.struct("block", "seq") != F.col("at")) & (F.trim("record") != ""))
+    folder = fresh_path(spark, "statement-rows")
+    rows.where(is_row).select(*PROVENANCE_COLUMNS, "record", "width", "places", "layout").write.partitionBy("layout").parquet(folder)
+    schema = f"{FILE_COLUMN} string, received_ts timestamp, record string, width int, places array<int>, layout string"
+    placed = spark.read.schema(schema).parquet(folder)
+    signed = _named(placed.where(F.col("layout") == SIGNED), list(SIGNED_LEDGER_HEADERS), width)
+    split = _named(placed.where(F.col("layout") == SPLIT), SPLIT_LEDGER_REQUIRED, width)
+    parts = [
+        _placed(normalize_signed(signed)),
+        _placed(normalize_split(split, counts)),
+        _rejected(placed.where(F.col("layout") == UNKNOWN), "record", "unknown layout"),
+    ]
 
     def combine(left: DataFrame, right: DataFrame) -> DataFrame:
         return left.unionByName(right, allowMissingColumns=True)

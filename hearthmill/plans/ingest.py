@@ -135,9 +135,7 @@ def ingest_telemetry(
     A run is a window of that length which holds a sample of any probe.
     """
     lines = telemetry.project_samples(telemetry_json.read_sample_lines(spark, live_paths))
-    arrays = telemetry.project_samples(
-        telemetry_json.explode_samples(telemetry_json.read_sample_documents(spark, fixture_path))
-    )
+    arrays = telemetry.project_samples(telemetry_json.read_sample_arrays(spark, fixture_path))
     live, bad_live = quality.split_errors(settle(lines, "live-samples"))
     fixture, bad_fixture = quality.split_errors(settle(arrays, "fixture-samples"))
     values = ["timestamp", "metric_name", "metric_value", "status", "raw_payload"]

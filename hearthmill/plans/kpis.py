@@ -9,15 +9,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthmill.functions.dates import month_start
+from hearthmill.plans.baselines import exact
 
 
 def department_kpis(df: DataFrame, department: str, date: Column, figures: dict[str, Column]) -> DataFrame:
     """Monthly figures of one department as (department, month, kpi, value).
 
-    The figures must add up over months, because totals are built from them.
+    The figures must add up over months, because totals are built from them;
+    they keep ten decimals.
     """
     monthly = df.groupBy(month_start(date).alias("month")).agg(
-        *[figure.cast("decimal(28,2)").alias(name) for name, figure in figures.items()]
+        *[exact(figure).alias(name) for name, figure in figures.items()]
     )
     return monthly.unpivot("month", list(figures), "kpi", "value").select(
         F.lit(department).alias("department"), "month", "kpi", "value"

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hearthmill.functions import probes
 from hearthmill.operators import outages, telemetry
 from hearthmill.plans.baselines import MONEY, baseline
 from hearthmill.queries.registry import query, table
-from hearthmill.sources.telemetry_json import explode_samples
+from hearthmill.sources.shared import fresh_path
+from hearthmill.sources.telemetry_json import explode_samples, read_sample_arrays
 
 
 def ping_transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,6 +139,32 @@ def telemetry_json_scan(spark, sf_dir):
     )
 
 
+@query(
+    """
+SELECT event_id, 2 * (row_number() OVER (PARTITION BY ts::DATE ORDER BY ts, event_id) - 1) AS "position",
+       value, event_type, NULL::VARCHAR AS error
+FROM events
+"""
+)
+def telemetry_array_scan(spark, sf_dir):
+    """Array files, one per day, read by splits; texts hold brackets and quotes, every second element is no object."""
+    events = table(spark, sf_dir, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    ordered = Window.partitionBy("day").orderBy("ts", "event_id")
+    element = F.to_json(
+        F.struct("event_id", F.format_string("%.2f", F.col("value")).alias("v"), F.struct(F.concat(F.lit('}"],{\\'), "event_type").alias("kind")).alias("deep"))
+    )
+    first, last = F.row_number().over(ordered) == 1, F.lead("ts").over(ordered).isNull()
+    line = F.concat(F.when(first, "[").otherwise(',"}",'), element, F.when(last, "]").otherwise(""))
+    folder = fresh_path(spark, "sample-arrays")
+    lines = events.select("day", line.alias("value"), "ts", "event_id").repartition("day").sortWithinPartitions("day", "ts", "event_id")
+    lines.select("day", "value").write.partitionBy("day").text(folder)
+    cell = lambda path, kind: F.try_variant_get("sample", path, kind)
+    return read_sample_arrays(spark, f"{folder}/day=*").select(
+        cell("$.event_id", "bigint").alias("event_id"), "position", cell("$.v", "double").alias("value"),
+        F.expr("substring(try_variant_get(sample, '$.deep.kind', 'string'), 7)").alias("event_type"), "error",
+    )
+
+
 @query(
     """
 WITH live AS (

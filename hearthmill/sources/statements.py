@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import csv
-import re
 from collections import defaultdict
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hearthmill.functions.text import strip
+from hearthmill.sources import splits
 
 FILE_COLUMN = "source_file"
 BROKEN_COLUMN = "_broken_row"
@@ -21,19 +20,6 @@ BROKEN_COLUMN = "_broken_row"
 _NEVER = "\x00"
 
 
-def sniff_headers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """First line that is not blank of every file, as ``source_file``, ``header``."""
-    lines = (
-        spark.read.text(paths)
-        .select("value", F.col("_metadata.file_path").alias(FILE_COLUMN), "_metadata.file_block_start")
-        .where("file_block_start = 0 and trim(value) <> ''")
-        .withColumn("line", F.monotonically_increasing_id())
-    )
-    return lines.groupBy(FILE_COLUMN).agg(
-        strip(F.ltrim(F.min_by("value", "line"), F.lit("\ufeff"))).alias("header")
-    )
-
-
 def header_columns(header: str) -> list[str]:
     """Column names of a header line; blank and repeated names get a number."""
     seen: dict[str, int] = defaultdict(int)
@@ -46,14 +32,56 @@ def header_columns(header: str) -> list[str]:
     return names
 
 
+# A whole quoted cell; a quote elsewhere in a cell is a character like others.
+_QUOTED = r'(^|,)"[^"]*+(?:""[^"]*+)*+"'
+
+
 def cell_count(row: Column) -> Column:
-    """Cells of a row's text: separators outside quotes, plus one."""
-    return F.size(F.split(F.regexp_replace(row, '"[^"]*"', ""), ","))
+    """Cells of a row's text: separators outside quoted cells, plus one."""
+    return F.size(F.split(F.regexp_replace(row, _QUOTED, "$1"), ","))
+
+
+def _leaves_open(line: Column) -> Column:
+    """1 if a quoted cell goes on behind the line's end."""
+    return F.regexp_replace(line, _QUOTED, "$1").rlike('(^|,)"').cast("long")
+
+
+def read_records(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """CSV records as they stand in files: source_file, block, seq (their order), record.
+
+    A quoted cell may hold line ends, which read as "\n". Files are read by as
+    many tasks as they have splits.
+    """
+    lines = splits.read_pieces(spark, paths)
+    quoted = F.contains("value", F.lit('"'))
+    none = F.lit(0).cast("long")
+    effects = {
+        "when_closed": F.when(quoted, _leaves_open(F.col("value"))).otherwise(none),
+        "when_open": F.when(quoted, _leaves_open(F.concat(F.lit('"'), "value"))).otherwise(F.lit(1).cast("long")),
+        "depth_closed": none,
+        "depth_open": none,
+    }
+    found = splits.records(lines.withColumns(effects), "\n")
+    return found.select(F.col("file").alias(FILE_COLUMN), "block", "seq", F.col("text").alias("record"))
+
+
+def file_headers(spark: SparkSession, paths: str | Sequence[str], records: DataFrame) -> DataFrame:
+    """First record that is not blank of every file: source_file, received_ts, header, its block and seq."""
+    place = F.struct("block", "seq")
+    first = records.where("trim(record) <> ''").groupBy(FILE_COLUMN).agg(F.min(place).alias("at"), F.min_by("record", place).alias("header"))
+    listed = spark.read.format("binaryFile").load(paths).select(
+        F.col("_metadata.file_path").alias(FILE_COLUMN), F.col("modificationTime").alias("received_ts")
+    )
+    header = strip(F.ltrim("header", F.lit("\ufeff")))
+    return first.join(listed, FILE_COLUMN).select(FILE_COLUMN, "received_ts", header.alias("header"), "at")
 
 
-def _literal_path(uri: str) -> str:
-    """A listed file's URI as a path that globbing leaves alone."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+def record_cells(record: Column, width: int) -> Column:
+    """The first ``width`` cells of a record, null where it has fewer."""
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    options = {"escape": '"', "emptyValue": "", "nullValue": _NEVER, "multiLine": "true"}
+    cells = F.from_csv(record, schema, options)
+    return F.array(*[cells[f"c{i}"] for i in range(width)])
 
 
 def read_layout(
@@ -93,29 +121,3 @@ def read_layout(
         F.col("_metadata.file_path").alias(FILE_COLUMN),
         F.col("_metadata.file_modification_time").alias("received_ts"),
     )
-
-
-def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Lines of files as they are, as ``record``."""
-    return spark.read.text(paths).select(
-        F.col("value").alias("record"),
-        F.col("_metadata.file_path").alias(FILE_COLUMN),
-        F.col("_metadata.file_modification_time").alias("received_ts"),
-    )
-
-
-def files_by_header(
-    spark: SparkSession, paths: str | Sequence[str]
-) -> dict[tuple[str, ...], list[str]]:
-    """Files grouped by their exact header, because one scan of files with
-    different headers would put values under the wrong names.
-
-    Only file names and headers reach the driver, which lists those files for
-    the scan anyway.
-    """
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for row in sniff_headers(spark, paths).toLocalIterator():
-        groups[tuple(header_columns(row["header"]))].append(_literal_path(row[FILE_COLUMN]))
-    if not groups:
-        raise FileNotFoundError(f"no statement with a header under {paths}")
-    return {columns: sorted(files) for columns, files in sorted(groups.items())}

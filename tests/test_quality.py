@@ -104,3 +104,10 @@ def test_kpi_totals(spark):
     assert got[("spend", None, None)] == (18.0, "all")
     assert got[("records", None, None)] == (3.0, "all")
     assert len(got) == 6 + 3 + 2
+
+
+def test_kpis_keep_small_figures(spark):
+    frame = spark.createDataFrame([("2026-01-05", 0.004), ("2026-02-06", 0.003)], "d string, v double")
+    kpi = kpis.department_kpis(frame, "fleet", F.to_date("d"), {"litres": F.sum("v"), "mean": F.avg("v")})
+    got = {(r["kpi"], r["level"], r["month"]): r["value"] for r in kpis.kpi_table([kpi]).collect()}
+    assert got[("litres", "all", None)] == 0.007 and got[("mean", "month", DAY(2026, 2, 1))] == 0.003
