@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hearthmill.queries.registry import query, table
 from hearthmill.queries.telemetry import _SESSIONS_SQL
 from hearthmill.sources.shared import fresh_path
+from hearthmill.streaming import runs
 from hearthmill.streaming import telemetry as streaming
 
 _EVENTS = ["event_id", "ts", "user_id", "event_type", "value"]
@@ -101,3 +102,23 @@ def probe_stream_fallback(spark, sf_dir):
         ),
         reaches="window_start",
     )[0].withColumn("metric_value", F.round("metric_value", 10))
+
+
+@query(
+    """
+WITH marked AS (
+  SELECT event_type, ts, event_id, value < 100 AS good,
+         sum((value < 100)::INTEGER) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS n_before FROM events),
+runs AS (
+  SELECT event_type, n_before, min(ts) AS outage_start, max(ts) AS outage_end, count(*) AS n_bad
+  FROM marked WHERE NOT good GROUP BY 1, 2),
+closing AS (
+  SELECT event_type, n_before - 1 AS n_before, date_trunc('hour', ts) + INTERVAL 1 HOUR AS closes FROM marked WHERE good)
+SELECT event_type, outage_start, outage_end, n_bad FROM runs JOIN closing USING (event_type, n_before)
+WHERE closes <= (SELECT max(ts) - INTERVAL 48 HOUR FROM events)
+"""
+)
+def outage_runs_stream(spark, sf_dir):
+    """Runs of slow samples of a component over several batches, ended by a fast one in a closed hour."""
+    samples = streaming.without_duplicates(event_stream(spark, sf_dir, deliveries=2), ["event_id"], "ts")
+    return runs.outage_runs_to_table(samples, ["event_type"], F.col("value") < 100, "ts", "event_id")[0]

@@ -141,7 +141,7 @@ def telemetry_json_scan(spark, sf_dir):
 
 @query(
     """
-SELECT event_id, 2 * (row_number() OVER (PARTITION BY ts::DATE ORDER BY ts, event_id) - 1) AS "position",
+SELECT event_id, (2 * (row_number() OVER (PARTITION BY ts::DATE ORDER BY ts, event_id) - 1))::INTEGER AS "position",
        value, event_type, NULL::VARCHAR AS error
 FROM events
 """

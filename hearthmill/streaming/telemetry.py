@@ -155,6 +155,7 @@ def run_to_table(
     state_partitions: int | None = None,
     folder: str | None = None,
     reaches: str | None = None,
+    carry: Callable[[DataFrame, DataFrame | None], tuple[DataFrame, DataFrame]] | None = None,
 ) -> tuple[DataFrame, StreamingQuery]:
     """Process what is available; return what was written, and the query.
 
@@ -165,23 +166,33 @@ def run_to_table(
     ``folder`` keeps progress and output: a later run with the same folder goes
     on where the last one ended. Without it each run starts anew. ``per_batch``
     is also given the greatest ``reaches`` time, in microseconds, that earlier
-    batches have written.
+    batches have written. ``carry`` takes its place where batches hang
+    together: from a batch and the rows carried over by the one before (None
+    at first) it makes the rows to write and the rows to carry on, which the
+    folder keeps under ``carried``.
     """
     spark = result.sparkSession
     folder = folder or fresh_path(spark, label)
     out, marks = f"{folder}/rows", f"{folder}/reached"
-    nothing = per_batch(spark.createDataFrame([], result.schema), None)
+    none = spark.createDataFrame([], result.schema)
+    nothing = carry(none, None)[0] if carry else per_batch(none, None)
     nothing.write.mode("ignore").parquet(f"{out}/batch=-1")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         own, reached = f"{out}/batch={batch_id}", None
-        if reaches:
+        if reaches or carry:
             # Written first, so that steps which read the batch twice do not compute it twice.
             taken = f"{folder}/taken/batch={batch_id}"
             batch.write.mode("overwrite").parquet(taken)
             batch = spark.read.schema(result.schema).parquet(taken)
-            if batch_id:
+            if batch_id and reaches:
                 reached = spark.read.parquet(f"{marks}/batch={batch_id - 1}").first()[0]
+        if carry:
+            before = spark.read.parquet(f"{folder}/carried/batch={batch_id - 1}") if batch_id else None
+            rows, kept = carry(batch, before)
+            rows.write.mode("overwrite").parquet(own)
+            kept.write.mode("overwrite").parquet(f"{folder}/carried/batch={batch_id}")
+            return
         per_batch(batch, reached).write.mode("overwrite").parquet(own)
         if reaches:
             latest = spark.read.schema(nothing.schema).parquet(own).agg(F.unix_micros(F.max(reaches)).alias("at"))

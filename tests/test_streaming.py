@@ -4,7 +4,9 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
+from hearthmill.operators.outages import outage_runs
 from hearthmill.streaming import telemetry as streaming
+from hearthmill.streaming.runs import outage_runs_to_table
 
 SCHEMA = "event_id long, ts timestamp, component string, good boolean"
 
@@ -107,3 +109,32 @@ def test_empty_stream(spark, tmp_path):
     result = streaming.uptime_stream(stream(spark, tmp_path / "in"), ["component"], F.col("good"), "ts")
     got, query = streaming.run_to_table(result, "complete", "t")
     assert got.count() == 0 and streaming.late_rows(query) == 0
+
+
+def outage_samples(start):
+    """Runs within hours, across hours, across empty hours, out of order, with ties, and one that nothing ends."""
+    minutes = {"a": [(0, 1), (3, 0), (9, 0), (12, 1), (50, 0), (63, 0), (70, 1), (130, 0), (400, 0), (401, 1), (402, 0)], "b": [(0, 0), (59, 0), (60, 0), (119, 0), (500, 1), (505, 1), (580, 0)]}
+    minutes["c"] = [(i, int(i % 7 != 3 and i % 90 < 60)) for i in range(0, 700, 2)]
+    return [(1000 * k + i, start + timedelta(minutes=m), name, bool(good)) for k, (name, rows) in enumerate(minutes.items()) for i, (m, good) in enumerate(rows)]
+
+
+def test_runs_of_a_stream_equal_runs_of_a_table(spark, tmp_path):
+    start = datetime(2026, 1, 1)
+    rows = outage_samples(start)
+    rows += [(5000, start + timedelta(minutes=63), "a", True), (5001, start + timedelta(minutes=63), "a", False)]
+    late = [(9000 + k, start + timedelta(hours=70 + k), "d", True) for k in range(4)]
+    shuffled = sorted(rows, key=lambda r: (r[0] * 7919) % 1009)
+    # Batches out of order within the watermark, then samples that move it on in steps.
+    steps = [shuffled[:150], shuffled[150:], late[:1], late[1:2], [(9100, start + timedelta(hours=56), "z", True)], late[2:]]
+    runs = None
+    for place, part in enumerate(steps):
+        write(tmp_path / "in", f"{place}.json", part)
+        os.utime(tmp_path / "in" / f"{place}.json", (1e9 + place, 1e9 + place))
+        if place in (2, 5):  # the stream stops after the third delivery and starts again
+            samples = stream(spark, tmp_path / "in", files_per_batch=1)
+            runs, opened, _ = outage_runs_to_table(samples, ["component"], F.col("good"), "ts", "event_id", folder=str(tmp_path / "run"))
+    table = spark.createDataFrame(rows, "event_id long, ts timestamp, component string, good boolean")
+    want = outage_runs(table, ["component"], F.col("good"), "ts", "event_id")
+    every = runs.unionByName(opened).select(*want.columns)
+    assert sorted(map(tuple, every.collect())) == sorted(map(tuple, want.collect()))
+    assert {r["component"] for r in opened.collect()} == {"a", "b"} | ({"c"} if not rows[-3][3] else set())
