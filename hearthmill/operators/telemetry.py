@@ -68,21 +68,28 @@ def project_samples(samples: DataFrame) -> DataFrame:
     )
 
 
-def ping_observations(transcripts: DataFrame) -> DataFrame:
-    """Answered probes of ``(timestamp, exit_code, raw_payload)`` rows."""
+def ping_results(transcripts: DataFrame) -> DataFrame:
+    """Every probe of ``(timestamp, exit_code, raw_payload)`` rows as an observation; an unanswered one has an ``error``."""
     payload = F.col("raw_payload")
-    return transcripts.where((F.col("exit_code") == 0) & (probes.ping_status(payload) == "ONLINE")).withColumns(
+    answered = (F.col("exit_code") == 0) & (probes.ping_status(payload) == "ONLINE")
+    return transcripts.withColumns(
         {
             "source_component": F.lit("router_ping"),
             "metric_name": F.lit("latency_ms"),
             "metric_value": probes.ping_latency(payload),
             "status": probes.ping_status(payload),
+            "error": F.when(~F.coalesce(answered, F.lit(False)), F.concat_ws(" ", F.lit("no answer, exit code"), F.col("exit_code").cast("string"))),
         }
     )
 
 
-def daemon_observations(documents: DataFrame) -> DataFrame:
-    """Readable daemon documents of ``(timestamp, raw_payload)`` rows."""
+def ping_observations(transcripts: DataFrame) -> DataFrame:
+    """Answered probes of ``(timestamp, exit_code, raw_payload)`` rows."""
+    return ping_results(transcripts).where("error is null").drop("error")
+
+
+def daemon_results(documents: DataFrame) -> DataFrame:
+    """Every daemon document of ``(timestamp, raw_payload)`` rows; an unreadable one has an ``error``."""
     running = probes.running_containers(F.col("raw_payload")).cast("double")
     return documents.withColumns(
         {
@@ -90,8 +97,14 @@ def daemon_observations(documents: DataFrame) -> DataFrame:
             "metric_name": F.lit("active_containers"),
             "metric_value": running,
             "status": F.lit("HEALTHY"),
+            "error": F.when(running.isNull(), "unreadable daemon document"),
         }
-    ).where("metric_value is not null")
+    )
+
+
+def daemon_observations(documents: DataFrame) -> DataFrame:
+    """Readable daemon documents of ``(timestamp, raw_payload)`` rows."""
+    return daemon_results(documents).where("error is null").drop("error")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

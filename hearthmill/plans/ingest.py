@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hearthmill.functions import text
@@ -61,6 +62,24 @@ def append_new(df: DataFrame, path: str, date: str, key: str) -> None:
     sinks.write_monthly(df, path, date)
 
 
+def log_load(spark: SparkSession, table: str, job: str, load: str | None, counts: dict[str, int]) -> None:
+    """Write a load's counts to ``load_log``; a load that is repeated under its name replaces them."""
+    rows = [(name, int(n or 0)) for name, n in counts.items()]
+    folder = f"{table}/load_log/job={job}/load={load or uuid.uuid4().hex}"
+    spark.createDataFrame(rows, "measure string, n_rows long").coalesce(1).write.mode("overwrite").parquet(folder)
+
+
+def log_errors(rejected: DataFrame, table: str, job: str, source: str) -> None:
+    """Add to ``error_log``, one table for all jobs, how often each source failed and why."""
+    found = rejected.groupBy(F.lit(job).alias("job"), F.col(source).cast("string").alias("source"), "error").agg(F.count("*").alias("n_rows"))
+    append_once(found, f"{table}/error_log")
+
+
+def count_rows(df: DataFrame, **conditions: Column) -> dict[str, int]:
+    """Rows that meet each condition, in one pass."""
+    return df.agg(*[F.count_if(condition).alias(name) for name, condition in conditions.items()]).first().asDict()
+
+
 def ledger_entries(ledger: DataFrame) -> DataFrame:
     """Ledger rows with vendor, category and key, each purchase once."""
     described = ledger.withColumn("vendor_normalized", vendors.normalized_vendor(F.col("description")))
@@ -83,19 +102,37 @@ def ingest_statements(
     paths: str | Sequence[str],
     table: str,
     rules: Sequence[str] = ("date_ok", "amount_ok", "account_masked"),
+    load: str | None = None,
 ) -> Gated:
-    """Statements to a ledger table by month; returns what was decided."""
-    rows = settle(statements.read_ledger(spark, paths), "ledger-rows")
+    """Statements to a ledger table by month; returns what was decided.
+
+    ``load`` names the load in ``load_log``, which gets its counts.
+    """
+    pending = Observation(f"pending {uuid.uuid4().hex}")
+    rows = settle(statements.read_ledger(spark, paths, pending), "ledger-rows")
     ledger, unplaced = quality.split_errors(rows)
+    is_row = F.col("error").isNull()
+    counts = {
+        "pending": pending.get["pending_rows"],
+        **count_rows(
+            rows, rows=is_row, unplaced=~is_row, amount_unreadable=is_row & ~F.col("amount_ok"),
+            date_unreadable=is_row & F.col("post_date").isNull(),
+        ),
+    }
     decided = gate(ledger_entries(ledger.drop("record")), {rule: LEDGER_RULES[rule]() for rule in rules})
     append_new(decided.passed, f"{table}/ledger", "post_date", "transaction_id")
     append_once(decided.quarantine, f"{table}/ledger_quarantine", ["transaction_id"])
     unplaced = unplaced.withColumn("record", text.mask_personal_data(F.col("record")))
     append_once(unplaced.select(FILE_COLUMN, "record", "error"), f"{table}/ledger_unplaced")
+    log_errors(unplaced, table, "statements", FILE_COLUMN)
+    held = decided.quarantine.withColumn("error", F.explode(F.transform("failed_rules", lambda rule: F.concat(F.lit("rule "), rule))))
+    log_errors(held, table, "statements", FILE_COLUMN)
+    counts |= {f"failed_{r['rule']}": r["n_failed"] for r in decided.summary.collect()}
+    log_load(spark, table, "statements", load, counts)
     return decided
 
 
-def ingest_messages(spark: SparkSession, folder: str, pattern: str, table: str) -> DataFrame:
+def ingest_messages(spark: SparkSession, folder: str, pattern: str, table: str, load: str | None = None) -> DataFrame:
     """E-mail files to staged bills (CSV handover and table by month).
 
     Two tables are kept: the raw one with restricted access, and a masked one
@@ -113,6 +150,10 @@ def ingest_messages(spark: SparkSession, folder: str, pattern: str, table: str)
     )
     append_new(masked.drop("raw_body_text"), f"{table}/bills", "date", "bill_id")
     append_once(rejected.select("path", "received_ts", "error"), f"{table}/bills_quarantine")
+    log_errors(rejected, table, "messages", "path")
+    no = {f"no_{name}": F.col(name).isNull() for name in ("date", "subject", "total_amount")}
+    counts = {"messages": captured.count(), "rejected": rejected.count(), **count_rows(captured, **no)}
+    log_load(spark, table, "messages", load, counts)
     return captured
 
 
@@ -126,22 +167,52 @@ def ingest_receipts(ocr_texts: DataFrame, table: str) -> DataFrame:
     return found
 
 
+COMPONENTS = ("router_ping", "docker_stats")
+
+
 def ingest_telemetry(
     spark: SparkSession, live_paths: str | Sequence[str], fixture_path: str, table: str,
-    components: Sequence[str] = ("router_ping", "docker_stats"), run: str = "1 hour",
+    components: Sequence[str] = COMPONENTS, run: str = "1 hour", load: str | None = None,
 ) -> DataFrame:
     """Every good sample, with the fixture's row for a probe silent during a run.
 
     A run is a window of that length which holds a sample of any probe.
     """
     lines = telemetry.project_samples(telemetry_json.read_sample_lines(spark, live_paths))
+    live, bad = quality.split_errors(settle(lines, "live-samples"))
+    return _load_observations(spark, live, bad, fixture_path, table, components, run, "telemetry", load)
+
+
+def ingest_probes(
+    spark: SparkSession, pings: DataFrame, daemons: DataFrame, fixture_path: str, table: str,
+    components: Sequence[str] = COMPONENTS, run: str = "1 hour", load: str | None = None,
+) -> DataFrame:
+    """Ping transcripts and daemon documents to the same table as samples.
+
+    ``pings`` has timestamp, exit_code and raw_payload, ``daemons`` timestamp
+    and raw_payload. Unanswered probes and unreadable documents are kept with
+    their ``error``; the fixture stands in for them in runs without another
+    sample of the component. They count as runs of their own.
+    """
+    seen = ["timestamp", "source_component", "metric_name", "metric_value", "status", "raw_payload", "error"]
+    results = telemetry.ping_results(pings).select(*seen).unionByName(telemetry.daemon_results(daemons).select(*seen))
+    live, bad = quality.split_errors(settle(results, "probe-results"))
+    kept = bad.select("error", F.col("raw_payload").alias("record"), "timestamp", "source_component")
+    return _load_observations(spark, live, kept, fixture_path, table, components, run, "probes", load, tried=bad.select("timestamp"))
+
+
+def _load_observations(
+    spark: SparkSession, live: DataFrame, bad: DataFrame, fixture_path: str, table: str, components: Sequence[str], run: str,
+    job: str, load: str | None, tried: DataFrame | None = None,
+) -> DataFrame:
     arrays = telemetry.project_samples(telemetry_json.read_sample_arrays(spark, fixture_path))
-    live, bad_live = quality.split_errors(settle(lines, "live-samples"))
     fixture, bad_fixture = quality.split_errors(settle(arrays, "fixture-samples"))
     values = ["timestamp", "metric_name", "metric_value", "status", "raw_payload"]
     key = ["source_component"]
-    live = live.select(F.window("timestamp", run)["start"].alias("run"), *key, *values)
-    runs = settle(live.select("run").distinct(), "runs")
+    in_run = F.window("timestamp", run)["start"].alias("run")
+    live = live.select(in_run, *key, *values)
+    runs = live.select("run") if tried is None else live.select("run").union(tried.where("timestamp is not null").select(in_run))
+    runs = settle(runs.distinct(), "runs")
     if runs.isEmpty():
         runs = spark.range(1).select(F.lit(None).cast("timestamp").alias("run"))
     expected = runs.select("run", F.explode(F.array(*[F.lit(name) for name in components])).alias(key[0]))
@@ -156,5 +227,10 @@ def ingest_telemetry(
     keyed = quality.keep_first(resolved.withColumn("log_id", quality.key_uuid(content)), ["log_id"], ["run"])
     append_new(settle(keyed, "telemetry-once"), f"{table}/telemetry", "timestamp", "log_id")
     append_once(unresolved, f"{table}/telemetry_unresolved")
-    append_once(bad_live.unionByName(bad_fixture, allowMissingColumns=True).drop("sample"), f"{table}/telemetry_quarantine")
+    failed = bad.unionByName(bad_fixture, allowMissingColumns=True).drop("sample")
+    append_once(failed, f"{table}/{job}_quarantine")
+    log_errors(failed.withColumn("source", F.coalesce(*[F.col(c) for c in ("path", "source_component") if c in failed.columns])), table, job, "source")
+    log_errors(unresolved, table, job, "source_component")
+    observed = count_rows(resolved, observations=F.lit(True), from_fixture=F.col("from_fixture"))
+    log_load(spark, table, job, load, {**observed, "rejected": failed.count(), "unresolved": unresolved.count()})
     return resolved

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hearthmill.functions import money, text
 from hearthmill.operators import ledger
+from hearthmill.plans import ingest
 from hearthmill.plans.baselines import MONEY
 from hearthmill.queries.registry import query, table
 from hearthmill.sources.shared import fresh_path
@@ -209,3 +210,31 @@ def ledger_net_flow(spark, sf_dir):
         F.count("*").alias("n_rows"),
         F.count_if(~F.col("amount_ok")).alias("n_unreadable"),
     )
+
+
+@query(
+    """
+SELECT unnest(['pending', 'rows', 'unplaced', 'amount_unreadable', 'date_unreadable',
+               'failed_date_ok', 'failed_amount_ok', 'failed_account_masked']) AS measure,
+       unnest([count(*) FILTER (o_orderstatus = 'P'), count(*) FILTER (o_orderstatus <> 'P'), 0,
+               count(*) FILTER (o_orderstatus <> 'P' AND o_orderkey % 50 = 7), count(*) FILTER (o_orderstatus <> 'P' AND o_orderkey % 70 = 9),
+               count(*) FILTER (o_orderstatus <> 'P' AND o_orderkey % 70 = 9), count(*) FILTER (o_orderstatus <> 'P' AND o_orderkey % 50 = 7), 0]) AS n_rows
+FROM orders
+"""
+)
+def ledger_load_counts(spark, sf_dir):
+    """What a load of statement files reports about itself."""
+    key = F.col("o_orderkey")
+    statement = table(spark, sf_dir, "orders").select(
+        F.lpad(F.col("o_custkey").cast("string"), 6, "0").alias("Account Number"),
+        F.when(key % 70 == 9, "some day").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")).alias("Post Date"),
+        F.lit("").alias("Check"),
+        F.concat_ws("\n", F.lit("order"), key.cast("string")).alias("Description"),
+        F.when(key % 50 == 7, "abc").otherwise(F.format_string("$%.2f", F.col("o_totalprice").cast("double"))).alias("Debit"),
+        F.lit("").alias("Credit"),
+        F.when(F.col("o_orderstatus") == "P", " Pending").otherwise("ok").alias("Status"),
+    )
+    folder, tables = fresh_path(spark, "statements"), fresh_path(spark, "tables")
+    statement.write.option("header", True).csv(folder)
+    ingest.ingest_statements(spark, folder, tables, load="all")
+    return spark.read.parquet(f"{tables}/load_log/job=statements/load=all")

@@ -28,6 +28,49 @@ def test_statements_are_loaded_once(spark, tmp_path):
     assert summary == {"date_ok": (8, 1), "amount_ok": (8, 1), "account_masked": (8, 0)}
 
 
+def logged(spark, table, job, load):
+    rows = spark.read.parquet(f"{table}/load_log").where(f"job = '{job}' and load = '{load}'").collect()
+    return {r["measure"]: r["n_rows"] for r in rows}
+
+
+def test_loads_are_counted_and_errors_kept_in_one_log(spark, tmp_path):
+    files = tmp_path / "in"
+    files.mkdir()
+    pending = [row.replace('"Cleared"', '" Pending "') for row in SPLIT_ROWS if '"Cleared"' in row]
+    (files / "a.csv").write_text("\n".join([SPLIT_HEADER, *SPLIT_ROWS, *pending, '"1","never","","d","abc","","ok"', SPLIT_ROWS[0] + ',"more"']))
+    (files / "b.csv").write_text("Foo,Bar\n1,2")
+    table = str(tmp_path / "out")
+    for _ in range(2):
+        ingest.ingest_statements(spark, str(files), table, load="march")
+    assert len(pending) and logged(spark, table, "statements", "march") == {
+        "pending": len(pending) + 1, "rows": 6, "unplaced": 3, "amount_unreadable": 1, "date_unreadable": 1,
+        "failed_date_ok": 1, "failed_amount_ok": 1, "failed_account_masked": 0,
+    }
+    transcripts = [
+        ("2026-03-24 10:05:00", 0, "64 bytes: time=4.5 ms"), ("2026-03-24 10:20:00", 1, "Request timeout"), ("2026-03-24 12:01:00", 2, ""),
+        ("2026-03-24 13:01:00", None, None),
+    ]
+    pings = spark.createDataFrame(transcripts, "timestamp string, exit_code int, raw_payload string").selectExpr("cast(timestamp as timestamp) as timestamp", "exit_code", "raw_payload")
+    documents = [("2026-03-24 10:30:00", '{"ContainersRunning": 3}'), ("2026-03-24 12:30:00", "{broken")]
+    daemons = spark.createDataFrame(documents, "timestamp string, raw_payload string").selectExpr("cast(timestamp as timestamp) as timestamp", "raw_payload")
+    (tmp_path / "fixture.json").write_text(json.dumps([PING, DAEMON]))
+    for _ in range(2):
+        observed = ingest.ingest_probes(spark, pings, daemons, str(tmp_path / "fixture.json"), table, load="noon")
+    rows = sorted((r["run"].hour, r["source_component"], r["metric_value"], r["from_fixture"]) for r in observed.collect())
+    assert rows == [
+        (10, "docker_stats", 3.0, False), (10, "router_ping", 4.5, False), (12, "docker_stats", 5.0, True), (12, "router_ping", 3.87, True),
+        (13, "docker_stats", 5.0, True), (13, "router_ping", 3.87, True),
+    ]
+    assert spark.read.parquet(f"{table}/telemetry").count() == 6
+    assert logged(spark, table, "probes", "noon") == {"observations": 6, "from_fixture": 4, "rejected": 4, "unresolved": 0}
+    errors = {(r["job"], r["error"]): r["n_rows"] for r in spark.read.parquet(f"{table}/error_log").collect()}
+    assert errors == {
+        ("statements", "unknown layout"): 2, ("statements", "more cells than the header"): 1, ("statements", "rule date_ok"): 1,
+        ("statements", "rule amount_ok"): 1, ("probes", "no answer, exit code 1"): 1, ("probes", "no answer, exit code 2"): 1,
+        ("probes", "no answer, exit code"): 1, ("probes", "unreadable daemon document"): 1,
+    }
+
+
 def test_messages_are_staged_and_loaded(spark, tmp_path):
     inbox = tmp_path / "inbox"
     inbox.mkdir()
