@@ -33,6 +33,7 @@ SMALL = 24
 DEPTH = 4
 PLACES = 1 << 18  # hash places in which the shingles of left-over sets are counted
 STRETCH = 1 << 12  # places whose counts travel in one row
+HEAD = 16  # rarest shingles by which a pair is known to have met before
 SKETCH = 4  # 64-bit words of a left-over set's sketch
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
@@ -250,7 +251,7 @@ def odd_sketch(tokens: np.ndarray) -> np.ndarray:
     Bits of two sketches that differ are no more than the shingles in which
     the two sets differ.
     """
-    parity = np.bincount((tokens.astype(np.int64).view(np.uint64) >> np.uint64(56)).astype(np.int64) % (64 * SKETCH), minlength=64 * SKETCH) & 1
+    parity = np.bincount((tokens.astype(np.int64).view(np.uint64) >> np.uint64(48)).astype(np.int64) % (64 * SKETCH), minlength=64 * SKETCH) & 1
     return np.packbits(parity.astype(bool), bitorder="little").view("<i8")
 
 
@@ -283,6 +284,8 @@ def left_over_pairs(left: DataFrame, labels: DataFrame, sets: DataFrame, percent
     many as a similarity of ``percent`` lets differ, and one more. From the
     first shared shingle on, both must be long enough for the overlap asked,
     and the sketches must not differ in more shingles than the similarity lets.
+    A pair that meets again at a later shingle is left out there if one of the
+    ``HEAD`` rarest of both tells so.
     """
     named = left.join(labels, "id", "left").select("node", "id", F.coalesce("component", "id").alias("component"))
     named = settle(named, "left-over")
@@ -293,13 +296,18 @@ def left_over_pairs(left: DataFrame, labels: DataFrame, sets: DataFrame, percent
     members = settle(members.join(sets, "id"), "open-members")
     prefix = members.select("id", "component", "outside", F.size("s").alias("n"), _rarest_prefix(members, percent).alias("p"))
     bits = [F.get("p.sketch", F.lit(k)).alias(f"bits{k}") for k in range(SKETCH)]
-    prefix = settle(prefix.select("id", "component", "outside", "n", *bits, F.posexplode("p.tokens").alias("place", "token")), "prefixes")
-    side = lambda x: ["token", f"id as {x}", f"n - place as {x}r", f"n as {x}n", f"component as {x}c", *[f"bits{k} as {x}{k}" for k in range(SKETCH)]]
+    prefix = settle(prefix.select("id", "component", "outside", "n", *bits, F.slice("p.tokens", 1, HEAD).alias("head"), "p.tokens"), "prefixes")
+    # The rarest shingles are mostly a set's own: only those that can meet another get the rest of their row.
+    met = prefix.select("outside", F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("k"), F.max("outside").alias("o"))
+    met = settle(met.filter("k > 1 and o").select("token"), "shared-shingles")
+    places = settle(prefix.select("id", F.posexplode("tokens").alias("place", "token")).join(met, "token"), "shared-places")
+    prefix = places.join(prefix.drop("tokens"), "id")
+    side = lambda x: ["token", f"id as {x}", f"n - place as {x}r", f"n as {x}n", f"component as {x}c", f"slice(head, 1, least(place, {HEAD})) as {x}h", *[f"bits{k} as {x}{k}" for k in range(SKETCH)]]
     both = prefix.filter("outside").selectExpr(*side("a")).join(prefix.selectExpr(*side("b")), "token")
     enough = f"least(ar, br) * (100 + {percent}) >= {percent} * (an + bn)"
     apart = " + ".join(f"bit_count(a{k} ^ b{k})" for k in range(SKETCH))
     like = f"(100 + {percent}) * ({apart}) <= (100 - {percent}) * (an + bn)"
-    return both.filter(f"ac <> bc and {enough} and {like}").selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct()
+    return both.filter(f"ac <> bc and {enough} and {like} and not arrays_overlap(ah, bh)").selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct()
 
 
 def near_duplicates(docs: DataFrame, gram: int = 5, percent: int = 80) -> DataFrame:

@@ -150,6 +150,6 @@ def test_sketches_differ_in_no_more_than_the_sets():
     for size in (1, 20, 300, 5000):
         a = np.unique(rng.integers(-(2**63), 2**63 - 1, size))
         b = np.unique(np.concatenate((a[size // 5 :], rng.integers(-(2**63), 2**63 - 1, size // 7))))
-        differing = np.bitwise_count(near_dedup.odd_sketch(a) ^ near_dedup.odd_sketch(b)).sum()
+        differing = np.bitwise_count((near_dedup.odd_sketch(a) ^ near_dedup.odd_sketch(b)).view(np.uint64)).sum()
         assert differing <= len(np.setxor1d(a, b)) and len(near_dedup.odd_sketch(a)) == near_dedup.SKETCH
     assert not near_dedup.odd_sketch(np.zeros(0, np.int64)).any()
