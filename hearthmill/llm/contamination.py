@@ -18,6 +18,7 @@ from hearthmill.sources.shared import settle
 # ASCII characters that separate words, and A-Z: each becomes a blank or its lower-case letter.
 _SEPARATORS = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 _CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+BLOCK = 256  # places of a document that are compared together
 
 
 def words(text: Column) -> Column:
@@ -91,26 +92,31 @@ def contaminated_words(docs: DataFrame, items: DataFrame, width: int = 13, gram:
     )
     prefix = patterns.join(rarest.filter("rarest.seen > 0"), "window").select("window", "length", "pattern", "rarest.offset", "rarest.shingle")
     prefix = settle(prefix, "window-prefixes")
-    # Candidate places by the prefix alone, within the bounds of the document.
+    # Candidate places by the prefix alone, within the bounds of the document. A document is taken in blocks,
+    # each with the places that a window beginning in it may reach, so that a long one is no long list.
+    reach = max(width - gram, 0)
+    block = max(BLOCK, 2 * reach)
     start = F.col("place") - F.col("offset")
-    fits = (start >= 0) & (start + F.col("length") <= F.col("n_words"))
-    candidates = met.filter("known").join(prefix, "shingle", "left").groupBy("id", "text_hash").agg(
+    fits = (start >= 0) & (start + F.col("length") <= F.col("n_words")) & (F.floor(start / block) == F.col("block"))
+    blocks = F.expr(f"array_distinct(array(floor(place / {block}), floor(greatest(place - {reach}, 0) / {block})))")
+    candidates = met.filter("known").withColumn("block", F.explode(blocks)).join(prefix, "shingle", "left").groupBy("id", "text_hash", "block").agg(
         F.sort_array(F.collect_set(F.when(F.col("whole"), F.struct("place", "shingle")))).alias("spots"),
         F.collect_set(F.when(fits, F.struct(start.alias("start"), "length", "window", "pattern"))).alias("asked"),
     )
     # A window occurs where all its shingles stand one after the other: compared word by word, not by hash.
     # A window of one shingle has been compared by the join.
-    at = "slice(spots, greatest(array_position(transform(spots, s -> s.place), a.start), 1), size(a.pattern))"
-    occurs = f"size(a.pattern) = 1 or array_position(transform(spots, s -> s.place), a.start) > 0 and {at}.shingle = a.pattern and element_at({at}.place, -1) = a.start + size(a.pattern) - 1"
+    at = "slice(spots, greatest(array_position(spots.place, a.start), 1), size(a.pattern))"
+    occurs = f"size(a.pattern) = 1 or array_position(spots.place, a.start) > 0 and {at}.shingle = a.pattern and element_at({at}.place, -1) = a.start + size(a.pattern) - 1"
+    found = candidates.filter("size(asked) > 0").withColumn("found", F.expr(f"filter(asked, a -> {occurs})")).filter("size(found) > 0")
+    spans = "array_distinct(transform(found, a -> struct(a.start as start, a.start + a.length as stop)))"
+    # Words inside any window: spans by start, each adding what lies beyond those before it.
+    covered = (
+        "aggregate(array_sort(array_distinct(flatten(collect_list(spans)))), struct(0 as n, 0 as stop), (s, x) -> "
+        "struct(s.n + greatest(x.stop - greatest(x.start, s.stop), 0) as n, greatest(s.stop, x.stop) as stop)).n"
+    )
     verified = (
-        candidates.filter("size(asked) > 0")
-        .withColumn("found", F.expr(f"filter(asked, a -> {occurs})"))
-        .filter("size(found) > 0")
-        .select(
-            "id", "text_hash",
-            F.expr("size(array_distinct(flatten(transform(found, a -> sequence(a.start, a.start + a.length - 1)))))").alias("n_hit"),
-            F.expr("array_distinct(found.window)").alias("windows"),
-        )
+        found.select("id", "text_hash", F.expr(spans).alias("spans"), F.expr("array_distinct(found.window)").alias("windows"))
+        .groupBy("id", "text_hash").agg(F.expr(covered).alias("n_hit"), F.expr("array_distinct(flatten(collect_list(windows)))").alias("windows"))
     )
     verified = settle(verified, "verified-windows")
     ids = (
