@@ -20,6 +20,7 @@ from hearthmill.sources.shared import fresh_path, settle
 
 BINS = 128
 BLOCK_BYTES = 8_000_000
+STEP_PAIRS = 2_000_000  # scores held at once, about 40 bytes each with what is counted from them
 RESULT = "query_id long, vec_id long, score long"
 
 
@@ -63,8 +64,9 @@ class Block:
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1])) if len(sizes) else np.zeros(0, np.int64)
         for dim, (first, last, matrix) in self.parts.items():
             rows = np.flatnonzero(sizes == dim)
-            for at in range(0, len(rows), 2048):
-                own = rows[at : at + 2048]
+            step = min(2048, max(1, STEP_PAIRS // max(1, last - first)))
+            for at in range(0, len(rows), step):
+                own = rows[at : at + step]
                 other = values[starts[own][:, None] + np.arange(dim)] if dim else np.zeros((len(own), 0), np.int64)
                 most = float(np.abs(other).max(initial=0)) * float(np.abs(matrix).max(initial=0)) * max(dim, 1)
                 if most < 2**52:
