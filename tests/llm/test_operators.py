@@ -144,6 +144,20 @@ def test_contamination_finds_short_items_in_longer_texts(spark):
     assert len(got) == len(texts)
 
 
+def test_contamination_of_long_texts_equals_brute_force(spark):
+    item = passage(71, 5000)
+    pieces = item.split()
+    texts = [item, passage(72, 250) + " " + " ".join(pieces[240:2000]) + " " + passage(73, 300), " ".join(pieces[:12]), " ".join(pieces[250:263])]
+    items = spark.createDataFrame([(1, item), (2, " ".join(pieces[500:520]))], "item_id long, text string")
+    frame = spark.createDataFrame(list(enumerate(texts)) + [(0, item)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["item_ids"]) for r in contamination.contaminated_words(frame, items).collect()}
+    windows = {"1": {tuple(pieces[i : i + 13]) for i in range(len(pieces) - 12)}, "2": {tuple(pieces[i : i + 13]) for i in range(500, 508)}}
+    for i, text in enumerate(texts):
+        w = text.split()
+        at = [(name, s) for s in range(len(w) - 12) for name, held in windows.items() if tuple(w[s : s + 13]) in held]
+        assert got[i] == (len(w), len({p for _, s in at for p in range(s, s + 13)}), sorted({name for name, _ in at}) or None)
+
+
 def test_language_labels_words_of_switched_text(spark, docs, empty):
     tables = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     field = language.fit(language.training_rows(tables.where("doc_id % 2 = 0")))
@@ -261,6 +275,21 @@ def test_mixing_reaches_its_targets(spark, docs, empty):
     assert mixing.mixed_rows(empty).count() == 0
 
 
+def test_top_k_scores_in_steps_of_bounded_size(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(6)]) for i in range(300)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    find = lambda: sorted(tuple(r) for r in top_k.top_k(top_k.integer_vectors(frame), F.col("vec_id") % 2 == 0, 5).collect())
+    whole = find()
+    assert len(whole) == 150 * 5
+    block = top_k.Block(list(range(150)), [[1, 2]] * 150, {2: 9.0})
+    monkeypatch.setattr(top_k, "STEP_PAIRS", 3000)
+    import numpy as np
+
+    steps = [scored.shape for *_, scored, _ in block.scores(np.arange(90), np.full(90, 2), np.arange(180))]
+    assert steps == [(20, 150)] * 4 + [(10, 150)]
+
+
 def test_licenses(spark, docs, empty):
     rows = [(1, "intro\nreleased under the MIT license!"), (2, "Licensed under the Apache Licence, Version 2.0."), (3, "nothing here"), (4, None), (5, ""), (None, "Licensed under CC BY-NC 4.0.")]
     frame = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, license string")
@@ -273,6 +302,43 @@ def test_licenses(spark, docs, empty):
     assert licenses.document_licenses(empty).count() == 0
 
 
+def test_licenses_full_texts_inside_longer_ones(spark):
+    full = {name: text for name, text in licenses.full_texts().items() if len(text.split()) > 400}
+    edited = " ".join(w for i, w in enumerate(full["GPL-2.0-text"].split()) if i % 40)
+    twice = full["CC0-1.0-text"] + "\n" + passage(3, 400) + "\n" + full["LGPL-3.0-text"]
+    rows = [(name, passage(1, 3000) + "\n" + text + "\n" + passage(2, 500)) for name, text in full.items()]
+    rows += [("GPL-2.0-text", passage(4, 700) + "\n" + edited), ("CC0-1.0-text", twice)]
+    rows += [(name, passage(5, 60) + "\n" + licenses.TEMPLATES[name]) for name in ("GPL-2.0-header", "GPL-3.0-header", "LGPL-2.1-header", "LGPL-3.0-header")]
+    frame = spark.createDataFrame([(i, text) for i, (_, text) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in licenses.document_licenses(frame).collect()}
+    assert [got[i]["license"] for i in range(len(rows))] == [name for name, _ in rows]
+    # Notices inside a full text are not reported beside it.
+    assert all(got[i]["dice"] == 1.0 and got[i]["line"] in (1, 2) and got[i]["n_lines"] == 1 for i in range(len(full)))
+    assert got[len(full)]["dice"] > 0.9 and got[len(full) + 1]["n_lines"] == 2
+
+
+def test_license_spans_equal_brute_force(spark):
+    rng = random.Random(8)
+    templates = {"a": passage(90, 9), "b": " ".join(rng.choice("u v w x".split()) for _ in range(14)), "one": "solo"}
+    texts = []
+    for i in range(40):
+        w = templates["ab"[i % 2]].split()
+        w = [x if rng.random() < 0.93 else rng.choice("u v zz".split()) for x in w] * rng.choice([1, 1, 2])
+        texts.append(" ".join([passage(200 + i, 5), *w, passage(300 + i, 5), *["solo"][: i % 3 == 0]]))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r["id"], r["license"]): r["dice"] for r in licenses.license_lines(frame, templates, 0.7).groupBy("id", "license").agg(F.max("dice").alias("dice")).collect()}
+    want = {}
+    for i, text in enumerate(texts):
+        for name, notice in templates.items():
+            bigrams = lambda w: [" ".join(w[k : k + 2]) for k in range(max(1, len(w) - 1))]
+            g, t = (text.split(), {notice}) if name == "one" else (bigrams(text.split()), set(bigrams(notice.split())))
+            spans = [set(g[s:e]) for s in range(len(g)) for e in range(s + 1, len(g) + 1)]
+            best = max(2 * len(x & t) / (len(x) + len(t)) for x in spans)
+            if best >= 0.7:
+                want[i, name] = best
+    assert len(want) > 40 and got == pytest.approx(want)
+
+
 def test_licenses_wrapped_embedded_and_full(spark):
     wrap = lambda name, width: "\n".join(textwrap.wrap(licenses.TEMPLATES[name], width))
     full = licenses.full_texts()
