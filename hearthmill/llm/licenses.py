@@ -99,12 +99,16 @@ def license_lines(docs: DataFrame, templates: dict[str, str] | None = None, leas
     spark = docs.sparkSession
     texts = settle(_templates(spark, full_texts() | TEMPLATES if templates is None else templates, least), "license-patterns")
     patterns = texts.drop("places", "w")
-    # All templates' bigrams together: a document's other bigrams are put aside once.
-    grams = settle(patterns.select(F.array_distinct(F.flatten(F.collect_list("pattern"))).alias("vocabulary")), "license-bigrams")
+    # Short templates' bigrams together: a document's other bigrams are put aside once.
+    grams = settle(patterns.filter("not long").select(F.array_distinct(F.flatten(F.collect_list("pattern"))).alias("vocabulary")), "license-bigrams")
     cut = docs.select(known("doc_id").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("own"), F.col("text").cast("string").alias("body"))
     cut = cut.withColumn("w", words(F.col("body"))).select("id", "own", "body", "w", F.array_distinct(_bigrams()).alias("g"))
     held = cut.crossJoin(grams).select("id", "own", "body", "w", "g", F.array_intersect("g", "vocabulary").alias("h"))
-    meets = F.expr("(not single and size(h) >= need and size(array_intersect(h, pattern)) >= need) or (single and array_contains(w, pattern[0]))")
+    # Few documents have as many bigrams as a long template asks for, so its own are compared with all of theirs.
+    meets = F.expr(
+        "(not long and not single and size(h) >= need and size(array_intersect(h, pattern)) >= need) or (single and array_contains(w, pattern[0]))"
+        " or (long and size(g) >= need and size(array_intersect(g, pattern)) >= need)"
+    )
     met = held.join(patterns, meets)
     # Each step is exploded from an array of one, so that no later step is folded into it and evaluates it again.
     met = met.select("id", "own", "license", "body", "pattern", "long", "most", "need", F.explode(F.array(F.when(F.col("single"), F.col("w")).otherwise(_bigrams()))).alias("a"))
