@@ -178,6 +178,30 @@ def vendor_normalize(spark, sf_dir):
     return named.withColumn("category", vendors.vendor_category(F.col("vendor_normalized")))
 
 
+@query(
+    """
+SELECT CASE WHEN l_partkey % 5 = 0 THEN 'CASH' ELSE s_name END AS vendor_normalized, count(*) AS n_rows
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1
+"""
+)
+def vendor_rules_table(spark, sf_dir):
+    """Rows per vendor, one rule per supplier and one that catches less."""
+    supplier = table(spark, sf_dir, "supplier")
+    own = supplier.select(
+        F.col("s_suppkey").alias("priority"), F.lower("s_name").alias("needle"),
+        F.concat(F.lit(r"(?i)\b"), F.col("s_name"), F.lit(r"\b")).alias("pattern"), F.col("s_name").alias("vendor"),
+    )
+    late = supplier.select(
+        F.lit(10**9).cast(own.schema["priority"].dataType).alias("priority"), F.lit("purchase").alias("needle"), F.lit("(?i)purchase").alias("pattern"), F.lit("any").alias("vendor")
+    )
+    sold = table(spark, sf_dir, "lineitem").join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+    bought = F.concat(F.lit("POS purchase "), F.upper("s_name"), F.lit(" #"), F.col("l_linenumber").cast("string"))
+    rows = sold.select(F.when(F.col("l_partkey") % 5 == 0, F.lit("cash #12")).otherwise(bought).alias("description"))
+    named = vendors.join_rules(rows, own.union(late.distinct()))
+    name = F.coalesce("vendor_matched", vendors.cleaned_name(F.col("description")))
+    return named.groupBy(name.alias("vendor_normalized")).agg(F.count("*").alias("n_rows"))
+
+
 @query(
     """
 WITH categories AS (

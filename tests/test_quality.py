@@ -111,3 +111,18 @@ def test_kpis_keep_small_figures(spark):
     kpi = kpis.department_kpis(frame, "fleet", F.to_date("d"), {"litres": F.sum("v"), "mean": F.avg("v")})
     got = {(r["kpi"], r["level"], r["month"]): r["value"] for r in kpis.kpi_table([kpi]).collect()}
     assert got[("litres", "all", None)] == 0.007 and got[("mean", "month", DAY(2026, 2, 1))] == 0.003
+
+
+def test_rules_of_a_table_equal_the_chain(spark):
+    texts = ["AMZN Mktp", "amazon.com*1 shell", "WAL-MART 12", "walmart", "McDonald's", "city util", "util", "Utilities", "payroll", "xamznx", "a", "", None, "AMZN Mktp"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, description string")
+    needles = {1: ["amzn", "amazon.com"], 2: ["wal"], 3: ["shell"], 4: ["mcdonald"], 5: ["util"], 6: [None]}
+    rows = [(r.priority, needle, r.pattern, r.vendor) for r in vendors.DEFAULT_RULES for needle in needles[r.priority]]
+    rows += [(100 + i, f"needle{i}", f"needle{i}$", f"v{i}") for i in range(10_000)] + [(0, "absent", "absent", "never")]
+    rules = spark.createDataFrame(rows, "priority int, needle string, pattern string, vendor string")
+    got = vendors.join_rules(df, rules)
+    want = df.withColumn("vendor_matched", vendors.matched_vendor(df.description))
+    assert sorted(got.select("id", "vendor_matched").collect()) == sorted(want.select("id", "vendor_matched").collect())
+    last = vendors.join_rules(spark.createDataFrame([("see needle9999",), ("needle77 x",)], "description string"), rules)
+    assert {r["description"]: r["vendor_matched"] for r in last.collect()} == {"see needle9999": "v9999", "needle77 x": None}
+    assert {r[1] for r in vendors.join_rules(df.select("description"), rules.limit(0)).collect()} == {None}
