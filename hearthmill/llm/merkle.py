@@ -4,20 +4,16 @@ Rows become leaves, ordered by id within their source; runs of ``FAN`` nodes
 become their parent until a source has one node, and the sources' nodes are
 reduced in the same way to the root. The tree is worked through in superblocks
 of ``FAN ** LEVELS`` neighbouring nodes. On the way up a superblock is reduced
-to one digest. On the way down superblocks and the nodes they need from
-outside, the siblings on the path above them, are cogrouped: one function
-reduces the superblock again, puts local and outer siblings together into each
-node's proof and, for leaves, folds the proof back to a root. A source may hold
-most rows: positions come from a range sort, and the largest group is one
-superblock.
+to one digest. On the way down superblocks are joined with the nodes they need
+from outside, the siblings on the path above them: each superblock is reduced
+again, local and outer siblings are put together into each node's path and, for
+leaves, the path is folded back to a root. A source may hold most rows:
+positions come from a range sort, and the largest group is one superblock. All
+steps are native, so executors hold no Python workers beside the scan of texts.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,9 +23,7 @@ FAN = 16
 LEVELS = 3  # levels of a superblock, which holds FAN ** LEVELS nodes
 DIGEST = 64  # hex digits
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
-NODES = "tree string, at long, n long, digest string"
 PATH = "array<struct<left: string, right: string>>"
-OUTER = f"tree string, at long, path {PATH}, subroot string, root string"
 
 
 def _field(value: Column) -> Column:
@@ -81,45 +75,29 @@ def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
     return found.withColumn("at", F.col("global") + F.col("shift")).drop("global", "part", "t", "p", "shift")
 
 
-def sha(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
-
-
-def height(n: int) -> int:
-    """Levels between n nodes and the one they end in."""
-    levels = 0
-    while n > 1:
-        n, levels = -(-n // FAN), levels + 1
-    return levels
-
-
-def runs(digests: list[str], levels: int) -> Iterator[list[str]]:
-    """For each level, the joined digests of its runs; the last level's runs give the nodes that remain."""
-    for _ in range(levels):
-        joined = ["".join(digests[i : i + FAN]) for i in range(0, len(digests), FAN)]
-        yield joined
-        digests = [sha(run) for run in joined]
+def _superblocks(nodes: DataFrame, levels: int, *carried: str) -> DataFrame:
+    """One row per superblock: tree, block, n, members (at, digest and ``carried``, in order) and its runs.
 
-
-def _local_runs(rows: pd.DataFrame, levels: int) -> list[list[str]]:
-    """The runs of a superblock's nodes, as many levels as its tree still has."""
-    return list(runs(rows.sort_values("at")["digest"].tolist(), min(levels, height(int(rows["n"].iloc[0])))))
-
-
-def _block(levels: int) -> Column:
-    return F.expr(f"at div {FAN**levels}").alias("block")
+    ``runs0``, ``runs1``, ... are the joined digests of each level's runs, empty above the tree's last level.
+    """
+    blocks = nodes.withColumn("block", F.expr(f"at div {FAN**levels}")).groupBy("tree", "block")
+    blocks = blocks.agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("at", "digest", *carried))).alias("members"))
+    below, digest = "members", "x.digest"
+    for level in range(levels):
+        run = f"array_join(transform(slice({below}, i * {FAN} + 1, {FAN}), x -> {digest}), '')"
+        joined = f"transform(sequence(0, cast((size({below}) - 1) div {FAN} as int)), i -> {run})"
+        blocks = blocks.withColumn(f"runs{level}", F.expr(f"if(n > {FAN**level}, {joined}, cast(array() as array<string>))"))
+        below, digest = f"runs{level}", "sha2(x, 256)"
+    return blocks
 
 
 def tops(nodes: DataFrame, levels: int) -> DataFrame:
     """The nodes that superblocks reduce to, as the next table of nodes."""
-
-    def top(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        reduced = _local_runs(rows, levels)
-        digest = sha(reduced[-1][0]) if reduced else rows["digest"].iloc[0]
-        return pd.DataFrame({"tree": [key[0]], "at": [key[1]], "n": [-(-int(rows["n"].iloc[0]) // FAN**levels)], "digest": [digest]})
-
-    own = nodes.select("tree", "at", "n", "digest", _block(levels))
-    return settle(own.groupBy("tree", "block").applyInPandas(top, NODES), "tops")
+    digest = F.expr("members[0].digest")
+    for level in range(levels):
+        digest = F.when(F.col("n") > FAN**level, F.sha2(F.get(f"runs{level}", F.lit(0)), 256)).otherwise(digest)
+    n = F.expr(f"(n + {FAN**levels - 1}) div {FAN**levels}")
+    return settle(_superblocks(nodes, levels).select("tree", F.col("block").alias("at"), n.alias("n"), digest.alias("digest")), "tops")
 
 
 def tables_upwards(nodes: DataFrame, levels: int) -> list[DataFrame]:
@@ -130,48 +108,38 @@ def tables_upwards(nodes: DataFrame, levels: int) -> list[DataFrame]:
     return tables
 
 
-def _paths(rows: pd.DataFrame, outer: pd.DataFrame, levels: int) -> Iterator[list[tuple[str, str]]]:
-    """Left and right siblings of each of a superblock's nodes (in order), level by level up to the root."""
-    above = [(step["left"], step["right"]) for step in outer["path"].iloc[0]]
-    local = _local_runs(rows, levels)
-    for i in range(len(rows)):
-        path, at = [], i
-        for joined in local:
-            at, place = divmod(at, FAN)
-            path.append((joined[at][: DIGEST * place], joined[at][DIGEST * (place + 1) :]))
-        yield path + above
+def _sibling_step(level: int) -> str:
+    """Digests left and right of the i-th node's ancestor within its run."""
+    run, place = f"get(runs{level}, cast(i div {FAN ** (level + 1)} as int))", f"{DIGEST} * cast(i div {FAN**level} % {FAN} as int)"
+    return f"struct(left({run}, {place}) as left, substring({run}, {place} + {DIGEST + 1}) as right)"
 
 
-def expanded(nodes: DataFrame, outer: DataFrame, levels: int) -> DataFrame:
-    """Outer rows for these nodes, from those of the nodes that their superblocks reduce to."""
+def with_paths(nodes: DataFrame, outer: DataFrame, levels: int, *carried: str) -> DataFrame:
+    """tree, at, ``carried``, path, subroot and root of each node, from the outer rows of their superblocks.
 
-    def joined(key: tuple, rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
-        paths = [[{"left": left, "right": right} for left, right in path] for path in _paths(rows, above, levels)]
-        found = pd.DataFrame({"tree": key[0], "at": rows["at"].sort_values().to_numpy(), "path": paths})
-        return found.assign(subroot=above["subroot"].iloc[0], root=above["root"].iloc[0])
+    A path holds left and right siblings, level by level up to the root.
+    """
+    above = outer.select(F.col("tree").alias("t"), F.col("at").alias("b"), F.col("path").alias("above"), "subroot", "root")
+    blocks = _superblocks(nodes, levels, *carried).join(above, (F.col("tree") == F.col("t")) & (F.col("block") == F.col("b")))
+    steps = [f"if(n > {FAN**level}, array({_sibling_step(level)}), cast(array() as {PATH}))" for level in range(levels)]
+    local = F.expr(f"transform(members, (m, i) -> struct(m as m, concat({', '.join(steps)}) as path))")
+    found = blocks.select("tree", "above", "subroot", "root", F.explode(local).alias("node"))
+    path = F.concat("node.path", "above").alias("path")
+    return found.select("tree", "node.m.at", *[f"node.m.{name}" for name in carried], path, "subroot", "root")
 
-    own = nodes.select("tree", "at", "n", "digest", _block(levels)).groupBy("tree", "block")
-    return settle(own.cogroup(outer.groupBy("tree", "at")).applyInPandas(joined, OUTER), "paths")
+
+def expanded(nodes: DataFrame, outer: DataFrame, levels: int) -> DataFrame:
+    """Outer rows for these nodes, from those of the nodes that their superblocks reduce to."""
+    return settle(with_paths(nodes, outer, levels), "paths")
 
 
 def proofs(rows: DataFrame, outer: DataFrame, levels: int) -> DataFrame:
     """The manifest's rows, from leaves and the outer rows of their superblocks."""
-
-    def checked(key: tuple, rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("at")
-        proofs, folded = [], []
-        for digest, path in zip(rows["shown"], _paths(rows, above, levels)):
-            proofs.append(sha("".join(left + right for left, right in path)))
-            for left, right in path:
-                digest = sha(left + digest + right)
-            folded.append(digest)
-        root = above["root"].iloc[0]
-        found = rows[["doc_id", "leaf"]].assign(subroot=above["subroot"].iloc[0], root=root)
-        return found.assign(proof_sha256=proofs, folded_root=folded, verified=[f == root for f in folded])
-
-    own = rows.select("doc_id", "leaf", "shown", "tree", "at", "n", "digest", _block(levels)).groupBy("tree", "block")
-    schema = "doc_id long, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean"
-    return own.cogroup(outer.groupBy("tree", "at")).applyInPandas(checked, schema)
+    found = with_paths(rows, outer, levels, "doc_id", "leaf", "shown")
+    proof = F.sha2(F.array_join(F.transform("path", lambda step: F.concat(step.left, step.right)), ""), 256)
+    folded = F.aggregate("path", F.col("shown"), lambda digest, step: F.sha2(F.concat(step.left, digest, step.right), 256))
+    found = found.select(F.col("doc_id").cast("long").alias("doc_id"), "leaf", "subroot", "root", proof.alias("proof_sha256"), folded.alias("folded_root"))
+    return found.withColumn("verified", F.expr("folded_root = root"))
 
 
 def manifest(docs: DataFrame, levels: int = LEVELS) -> DataFrame:

@@ -176,6 +176,18 @@ def test_equal_rows_spread_over_ranges(spark):
     assert sorted(map(tuple, got.collect()), key=repr) == plain_manifest(docs.collect())
 
 
+def test_manifest_needs_no_python_workers(docs):
+    """Beside a scan of texts, idle Python workers would share the executor's memory."""
+    plan = merkle.manifest(docs)._jdf.queryExecution().toString()
+    assert "InPandas" not in plan and "InArrow" not in plan and "EvalPython" not in plan
+
+
+def test_manifest_keeps_large_ids_beside_a_null(spark):
+    rows = [(2**60 + 1, "a", "en", "s", 1), (None, "B", "en", "s", 1), (2**60 + 3, "C", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(map(tuple, merkle.manifest(docs).collect()), key=repr) == plain_manifest(docs.collect())
+
+
 def test_manifest_of_an_empty_table(empty):
     assert merkle.manifest(empty).count() == 0
 
