@@ -11,7 +11,10 @@ are independent, so their misses multiply.
 Equal sets are one class from the start, and candidate pairs are confirmed
 on full sets. Large nodes that are left at the greatest depth are settled
 exactly: if their members do not yet belong to one component, those outside
-the largest component are joined with the others by their rarest shingles.
+the largest component are joined with the others by their rarest shingles,
+first to link each with its nearest, then to link what is still apart. Odd
+sketches of the sets bound how many shingles differ, so that few pairs which
+turn out not to be similar reach the comparison of full sets.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ DEPTH = 4
 PLACES = 1 << 18  # hash places in which the shingles of left-over sets are counted
 STRETCH = 1 << 12  # places whose counts travel in one row
 HEAD = 16  # rarest shingles by which a pair is known to have met before
-SKETCH = 4  # 64-bit words of a left-over set's sketch
+SKETCH = 16  # 64-bit words of a set's sketch
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
 
@@ -96,10 +99,10 @@ def minwise_tokens(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def _signatures(gram: int):
-    @F.pandas_udf("n long, digest binary, tokens array<long>")
+    @F.pandas_udf("n long, digest binary, tokens array<long>, sketch array<long>")
     def signature(series: pd.Series) -> pd.DataFrame:
         texts = list(series)
-        sizes, digests, tokens = [], [], []
+        sizes, digests, tokens, sketches = [], [], [], []
         for part in chunks(texts):
             sets = shingle_sets(texts[part], gram)
             full = [s for s in sets if len(s)]
@@ -108,7 +111,8 @@ def _signatures(gram: int):
                 sizes.append(len(s))
                 digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 tokens.append(next(found) if len(s) else np.zeros(0, np.int64))
-        return pd.DataFrame({"n": sizes, "digest": digests, "tokens": tokens})
+                sketches.append(odd_sketch(s))
+        return pd.DataFrame({"n": sizes, "digest": digests, "tokens": tokens, "sketch": sketches})
 
     return signature.asNondeterministic()
 
@@ -163,14 +167,29 @@ def candidate_pairs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return every.distinct(), left
 
 
-def close_pairs(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Candidates that share at least half of their minwise tokens.
+def _words(sketch: str, side: str) -> list[Column]:
+    return [F.get(sketch, F.lit(k)).alias(f"{side}{k}") for k in range(SKETCH)]
+
+
+def _apart() -> Column:
+    """In how many bits two sketches differ, given as columns a0, a1, ... and b0, b1, ..."""
+    return F.expr(" + ".join(f"bit_count(a{k} ^ b{k})" for k in range(SKETCH)))
+
+
+def _like(apart: Column, percent: int) -> Column:
+    """What a similarity of ``percent`` of sets of an and bn shingles leaves open by the bits that differ."""
+    return (100 + percent) * apart <= (100 - percent) * (F.col("an") + F.col("bn"))
+
+
+def close_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Candidates that share at least half of their minwise tokens and whose sketches are not too far apart.
 
     At similarity 0.8 fewer than half of 48 has a chance below one in a million.
     """
-    tokens = classes.select("id", "tokens")
+    own = lambda x: classes.select(F.col("id").alias(x), F.col("n").alias(f"{x}n"), F.col("tokens").alias(f"t{x}"), *_words("sketch", x))
     agreed = F.aggregate(F.zip_with("ta", "tb", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
-    close = pairs.join(tokens.toDF("a", "ta"), "a").join(tokens.toDF("b", "tb"), "b").filter(agreed >= WIDTH // 2)
+    both = pairs.join(own("a"), "a").join(own("b"), "b")
+    close = both.filter((agreed >= WIDTH // 2) & _like(_apart(), percent))
     return settle(close.select("a", "b"), "close-pairs")
 
 
@@ -256,7 +275,7 @@ def odd_sketch(tokens: np.ndarray) -> np.ndarray:
 
 
 def _rarest_prefix(members: DataFrame, percent: int) -> Column:
-    """(tokens, sketch) of a set ``s``: its rarest shingles, as many as a similarity of ``percent`` lets differ and one more, and its odd sketch.
+    """The rarest shingles of a set ``s``, as many as a similarity of ``percent`` lets differ and one more.
 
     Rarity is the count of a shingle's hash place over all left-over sets;
     equal counts go by shingle. Any order of shingles that is the same for all
@@ -264,28 +283,21 @@ def _rarest_prefix(members: DataFrame, percent: int) -> Column:
     """
     shared = members.sparkSession.sparkContext.broadcast(_shingle_counts(members))
 
-    @F.pandas_udf("tokens array<long>, sketch array<long>")
-    def prefix(sets: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf("array<long>")
+    def prefix(sets: pd.Series) -> pd.Series:
         rarest = []
         for tokens in sets:
             kept = len(tokens) - -(-percent * len(tokens) // 100) + 1
             rarest.append(tokens[np.lexsort((tokens, shared.value[tokens % PLACES]))[:kept]])
-        return pd.DataFrame({"tokens": pd.Series(rarest, dtype=object), "sketch": pd.Series([odd_sketch(t) for t in sets], dtype=object)})
+        return pd.Series(rarest, dtype=object)
 
     return prefix.asNondeterministic()("s")
 
 
-def left_over_pairs(left: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs still open in the large nodes that are left, found exactly.
+def open_members(left: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id, component, outside) of the members of left nodes that do not all share a component.
 
-    A node whose members share a component has nothing to add. In the others,
-    members outside the node's largest component are joined with all members
-    by prefix: a similar pair shares one of the rarest shingles of either, as
-    many as a similarity of ``percent`` lets differ, and one more. From the
-    first shared shingle on, both must be long enough for the overlap asked,
-    and the sketches must not differ in more shingles than the similarity lets.
-    A pair that meets again at a later shingle is left out there if one of the
-    ``HEAD`` rarest of both tells so.
+    ``outside`` tells members that lie outside the largest component of one of these nodes.
     """
     named = left.join(labels, "id", "left").select("node", "id", F.coalesce("component", "id").alias("component"))
     named = settle(named, "left-over")
@@ -293,21 +305,68 @@ def left_over_pairs(left: DataFrame, labels: DataFrame, sets: DataFrame, percent
     main = parts.groupBy("node").agg(F.max(F.struct("k", "component")).alias("main"), F.count("*").alias("parts"))
     open_nodes = settle(main.filter("parts > 1").selectExpr("node", "main.component as main"), "open-nodes")
     members = named.join(open_nodes, "node").groupBy("id").agg(F.first("component").alias("component"), F.max(F.expr("component <> main")).alias("outside"))
-    members = settle(members.join(sets, "id"), "open-members")
-    prefix = members.select("id", "component", "outside", F.size("s").alias("n"), _rarest_prefix(members, percent).alias("p"))
-    bits = [F.get("p.sketch", F.lit(k)).alias(f"bits{k}") for k in range(SKETCH)]
-    prefix = settle(prefix.select("id", "component", "outside", "n", *bits, F.slice("p.tokens", 1, HEAD).alias("head"), "p.tokens"), "prefixes")
+    return settle(members, "open-members")
+
+
+def left_over_prefixes(members: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Written table of id, n, sketch, head and tokens: the rarest shingles of members, and the first of them."""
+    whole = settle(members.select("id").join(sets, "id"), "open-sets")
+    prefix = whole.select("id", _rarest_prefix(whole, percent).alias("tokens"))
+    prefix = prefix.join(classes.select("id", "n", "sketch"), "id")
+    return settle(prefix.select("id", "n", "sketch", F.slice("tokens", 1, HEAD).alias("head"), "tokens"), "prefixes")
+
+
+def left_over_pairs(members: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, apart) still open between members of different components, found exactly.
+
+    Members outside a node's largest component are joined with all members by
+    prefix: a similar pair shares one of the rarest shingles of either, as
+    many as a similarity of ``percent`` lets differ, and one more. From the
+    first shared shingle on, both must be long enough for the overlap asked,
+    and the sketches must not differ in more shingles than the similarity lets.
+    A pair that meets again at a later shingle is left out there if one of the
+    ``HEAD`` rarest of both tells so. ``apart`` counts the sketches' bits that differ.
+    """
+    prefix = settle(members.join(prefixes, "id"), "open-prefixes")
     # The rarest shingles are mostly a set's own: only those that can meet another get the rest of their row.
     met = prefix.select("outside", F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("k"), F.max("outside").alias("o"))
     met = settle(met.filter("k > 1 and o").select("token"), "shared-shingles")
     places = settle(prefix.select("id", F.posexplode("tokens").alias("place", "token")).join(met, "token"), "shared-places")
     prefix = places.join(prefix.drop("tokens"), "id")
-    side = lambda x: ["token", f"id as {x}", f"n - place as {x}r", f"n as {x}n", f"component as {x}c", f"slice(head, 1, least(place, {HEAD})) as {x}h", *[f"bits{k} as {x}{k}" for k in range(SKETCH)]]
-    both = prefix.filter("outside").selectExpr(*side("a")).join(prefix.selectExpr(*side("b")), "token")
-    enough = f"least(ar, br) * (100 + {percent}) >= {percent} * (an + bn)"
-    apart = " + ".join(f"bit_count(a{k} ^ b{k})" for k in range(SKETCH))
-    like = f"(100 + {percent}) * ({apart}) <= (100 - {percent}) * (an + bn)"
-    return both.filter(f"ac <> bc and {enough} and {like} and not arrays_overlap(ah, bh)").selectExpr("least(a, b) as a", "greatest(a, b) as b").distinct()
+    side = lambda x: [F.expr(e) for e in ("token", f"id as {x}", f"n - place as {x}r", f"n as {x}n", f"component as {x}c", f"slice(head, 1, least(place, {HEAD})) as {x}h")]
+    both = prefix.filter("outside").select(*side("a"), *_words("sketch", "a")).join(prefix.select(*side("b"), *_words("sketch", "b")), "token")
+    enough = F.expr(f"ac <> bc and least(ar, br) * (100 + {percent}) >= {percent} * (an + bn)")
+    both = both.filter(enough & _like(_apart(), percent) & F.expr("not arrays_overlap(ah, bh)"))
+    return both.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), _apart().alias("apart")).toDF("a", "b", "apart").distinct()
+
+
+def nearest_pairs(pairs: DataFrame) -> DataFrame:
+    """Of pairs (a, b, apart) those that are the nearest of one of their ids."""
+    own = F.explode(F.array("a", "b")).alias("id")
+    nearest = pairs.select(own, F.struct("apart", "a", "b").alias("p")).groupBy("id").agg(F.min("p").alias("p"))
+    return nearest.select("p.a", "p.b").distinct()
+
+
+def with_left_over(links: DataFrame, left: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Components of the links and of those still open in the large nodes that are left.
+
+    A node whose members share a component has nothing to add. In the others
+    each member is first linked with its nearest, so that a group of many
+    links falls together without making them all; the few members that are
+    still apart then get all their pairs.
+    """
+    labels = components(links)
+    members = open_members(left, labels)
+    if members.isEmpty():
+        return labels
+    prefixes = left_over_prefixes(members, sets, classes, percent)
+    late = settle(nearest_pairs(left_over_pairs(members, prefixes, percent)), "nearest-pairs")
+    if late.isEmpty():
+        return labels
+    links = links.union(confirmed(late, sets, percent))
+    labels = components(links)
+    late = settle(left_over_pairs(open_members(left, labels), prefixes, percent).select("a", "b"), "late-pairs")
+    return labels if late.isEmpty() else components(links.union(confirmed(late, sets, percent)))
 
 
 def near_duplicates(docs: DataFrame, gram: int = 5, percent: int = 80) -> DataFrame:
@@ -326,19 +385,17 @@ def near_duplicates(docs: DataFrame, gram: int = 5, percent: int = 80) -> DataFr
     signed = source.select("doc_id", "id", "text_hash", _signatures(gram)("text").alias("s"))
     signed = settle(signed.select("doc_id", "id", "text_hash", "s.*"), "signatures")
     classes = signed.filter("n > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("first"), F.min(F.struct("id", "text_hash")).alias("row"), F.first("n").alias("n"), F.first("tokens").alias("tokens")
-    )
+        F.min("doc_id").alias("first"), F.min(F.struct("id", "text_hash")).alias("row"),
+        F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.first("sketch").alias("sketch"),
+    )
     classes = settle(classes.withColumnRenamed("digest", "id"), "classes")
     pairs, left = candidate_pairs(classes.select("id", "n", "tokens"))
     pairs = settle(pairs, "pairs")
-    close = close_pairs(pairs, classes)
+    close = close_pairs(pairs, classes, percent)
     wanted = close.select(F.explode(F.array("a", "b")).alias("id")).union(left.select("id")).distinct()
     sets = full_sets(wanted, classes, source, gram)
     links = confirmed(close, sets, percent)
-    labels = components(links)
-    late = settle(left_over_pairs(left, labels, sets, percent), "late-pairs")
-    if not late.isEmpty():
-        labels = components(links.union(confirmed(late, sets, percent)))
+    labels = with_left_over(links, left, sets, classes, percent)
     grouped = classes.select("id", "first").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
     grouped = settle(grouped, "class-components")
     smallest = grouped.groupBy("component").agg(F.min("first").alias("component_id"))

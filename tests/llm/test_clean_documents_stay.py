@@ -1,6 +1,7 @@
 """What the pipeline's stages must leave alone, and the parts they rest on."""
 
 import random
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -95,6 +96,36 @@ def test_recall_of_pairs_inside_a_crowd(spark):
     assert sum(got[2 * pair + 1] == 2 * pair for pair in range(150)) >= 0.9 * 150
 
 
+def test_few_pairs_of_a_crowd_reach_the_full_sets(spark, monkeypatch):
+    """A crowd of similarity around 0.7: no more full sets are compared than a few per text, and every link counts."""
+    compared = []
+
+    def counting(pairs, sets, percent, own=near_dedup.confirmed):
+        compared[-1] += pairs.count()
+        return own(pairs, sets, percent)
+
+    monkeypatch.setattr(near_dedup, "confirmed", counting)
+    rng = random.Random(12)
+    base = [f"c{rng.randrange(10**6)}" for _ in range(120)]
+    texts = []
+    for _ in range(300):
+        words = list(base)
+        for at in rng.sample(range(120), rng.choice([2, 4, 5, 6])):
+            words[at] = f"o{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    grams = [{tuple(t.split()[k : k + 4]) for k in range(117)} for t in texts]
+    compared.append(0)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(frame, gram=4).collect()}
+    label = list(range(len(texts)))
+    for a, b in combinations(range(len(texts)), 2):
+        if label[a] != label[b] and 100 * len(grams[a] & grams[b]) >= 80 * len(grams[a] | grams[b]):
+            low, high = sorted((label[a], label[b]))
+            label = [low if x == high else x for x in label]
+    assert got == dict(enumerate(label))
+    assert compared[0] < 3 * len(texts)
+
+
 def test_components_of_dense_and_long_shapes(spark):
     rng = random.Random(1)
     pairs = [(a, b) for a in range(40) for b in range(a + 1, 40)]
