@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthmill.llm.common import chunks, known, mixed, random_words, word_run_hashes
-from hearthmill.sources.shared import settle
+from hearthmill.sources.shared import few, settle
 
 WIDTH = 48
 TREES = 10
@@ -136,13 +136,14 @@ def candidate_pairs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     trees = F.explode(F.array(*[F.lit(int(x)) for x in random_words(25, TREES).view(np.int64)]))
     nodes = classes.select("id", "n", "tokens", trees.alias("root")).select("id", "n", F.explode(_children("root", "tokens")).alias("node"))
     found, left = [], None
+    rows = TREES * classes.count()  # places in nodes, about as many at each depth at most
     for depth in range(DEPTH):
-        nodes = settle(nodes, f"nodes-{depth}")
+        nodes = settle(nodes, f"nodes-{depth}", rows)
         # Counted ahead of any gathering: a node may hold most documents.
-        sizes = settle(nodes.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1"), f"sizes-{depth}")
+        sizes = settle(nodes.groupBy("node").agg(F.count("*").alias("members")).filter("members > 1"), f"sizes-{depth}", rows)
         shared = settle(nodes.join(sizes, "node"), f"shared-{depth}")
         groups = shared.filter(F.col("members") <= SMALL).groupBy("node").agg(F.sort_array(F.collect_list(F.struct("id", "n"))).alias("m"))
-        pairs = groups.select(
+        pairs = few(groups, rows).select(
             F.explode(
                 F.expr(
                     "flatten(transform(m, (x, i) -> transform(filter(slice(m, i + 2, size(m)), y -> "
@@ -152,10 +153,10 @@ def candidate_pairs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         ).select("p.a", "p.b")
         large = shared.filter(F.col("members") > SMALL).select("node", "id", "n")
         pivots = large.groupBy("node").agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id", "n")).alias("p"))
-        pivots = pivots.selectExpr("node", "p.id as pivot", "p.n as pivot_n")
+        pivots = few(pivots, rows).selectExpr("node", "p.id as pivot", "p.n as pivot_n")
         stars = large.join(pivots, "node").filter(f"id <> pivot and {_similar_sizes('n', 'pivot_n')}")
         stars = stars.selectExpr("least(id, pivot) as a", "greatest(id, pivot) as b")
-        found.append(settle(pairs.union(stars).distinct(), f"candidates-{depth}"))
+        found.append(settle(pairs.union(stars).distinct(), f"candidates-{depth}", rows))
         left = large
         if large.isEmpty():
             break
@@ -164,7 +165,7 @@ def candidate_pairs(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     every = found[0]
     for more in found[1:]:
         every = every.union(more)
-    return every.distinct(), left
+    return settle(every.distinct(), "pairs", rows), left
 
 
 def _words(sketch: str, side: str) -> list[Column]:
@@ -195,7 +196,7 @@ def close_pairs(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame
 
 def full_sets(ids: DataFrame, classes: DataFrame, source: DataFrame, gram: int) -> DataFrame:
     """(id, s): the shingle sets of some classes, made again from one text of each."""
-    needed = settle(ids.join(classes.select("id", "row.*"), "id").toDF("class", "rid", "rhash"), "needed-classes")
+    needed = settle(ids.join(classes.select("id", "row.*"), "id").toDF("class", "rid", "rhash"), "needed-classes", classes.count())
 
     @F.pandas_udf("array<long>")
     def full_set(series: pd.Series) -> pd.Series:
@@ -224,7 +225,8 @@ def components(links: DataFrame) -> DataFrame:
     Edges never grow in number, and those of a dense group fall together in
     the first round, until each id has one edge, to the smallest id of all.
     """
-    edges = settle(links.select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).filter("x <> y").distinct(), "edges")
+    rows = links.count()
+    edges = settle(links.select(F.greatest("a", "b").alias("x"), F.least("a", "b").alias("y")).filter("x <> y").distinct(), "edges", rows)
     while True:
         ends = edges.select("x", F.lit(1).alias("up"), F.lit(0).alias("root")).union(edges.select("y", F.lit(0), F.lit(1)))
         ends = ends.groupBy("x").agg(F.sum("up").alias("up"), F.max("root").alias("root"))
@@ -232,10 +234,10 @@ def components(links: DataFrame) -> DataFrame:
             return edges.selectExpr("x as id", "y as component").union(edges.selectExpr("y", "y").distinct())
         least = edges.union(edges.select("y", "x")).groupBy("x").agg(F.min("y").alias("m"))
         hung = edges.join(least.toDF("y", "m"), "y").select("x", F.least("y", "m").alias("y"))
-        hung = settle(hung.distinct(), "edges")
+        hung = settle(hung.distinct(), "edges", rows)
         least = hung.groupBy("x").agg(F.min("y").alias("m"))
         below = hung.join(least, "x").filter("y <> m").select(F.col("y").alias("x"), F.col("m").alias("y"))
-        edges = settle(below.union(least.toDF("x", "y")).distinct(), "edges")
+        edges = settle(below.union(least.toDF("x", "y")).distinct(), "edges", rows)
 
 
 def _shingle_counts(members: DataFrame) -> np.ndarray:
@@ -294,29 +296,30 @@ def _rarest_prefix(members: DataFrame, percent: int) -> Column:
     return prefix.asNondeterministic()("s")
 
 
-def open_members(left: DataFrame, labels: DataFrame) -> DataFrame:
+def open_members(left: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """(id, component, outside) of the members of left nodes that do not all share a component.
 
     ``outside`` tells members that lie outside the largest component of one of these nodes.
+    ``rows`` is the most rows that ``left`` can have, about.
     """
     named = left.join(labels, "id", "left").select("node", "id", F.coalesce("component", "id").alias("component"))
-    named = settle(named, "left-over")
+    named = settle(named, "left-over", rows)
     parts = named.groupBy("node", "component").agg(F.count("*").alias("k"))
     main = parts.groupBy("node").agg(F.max(F.struct("k", "component")).alias("main"), F.count("*").alias("parts"))
-    open_nodes = settle(main.filter("parts > 1").selectExpr("node", "main.component as main"), "open-nodes")
+    open_nodes = settle(main.filter("parts > 1").selectExpr("node", "main.component as main"), "open-nodes", rows)
     members = named.join(open_nodes, "node").groupBy("id").agg(F.first("component").alias("component"), F.max(F.expr("component <> main")).alias("outside"))
-    return settle(members, "open-members")
+    return settle(members, "open-members", rows)
 
 
-def left_over_prefixes(members: DataFrame, sets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+def left_over_prefixes(members: DataFrame, sets: DataFrame, classes: DataFrame, percent: int, rows: int) -> DataFrame:
     """Written table of id, n, sketch, head and tokens: the rarest shingles of members, and the first of them."""
     whole = settle(members.select("id").join(sets, "id"), "open-sets")
     prefix = whole.select("id", _rarest_prefix(whole, percent).alias("tokens"))
     prefix = prefix.join(classes.select("id", "n", "sketch"), "id")
-    return settle(prefix.select("id", "n", "sketch", F.slice("tokens", 1, HEAD).alias("head"), "tokens"), "prefixes")
+    return settle(prefix.select("id", "n", "sketch", F.slice("tokens", 1, HEAD).alias("head"), "tokens"), "prefixes", rows)
 
 
-def left_over_pairs(members: DataFrame, prefixes: DataFrame, percent: int) -> DataFrame:
+def left_over_pairs(members: DataFrame, prefixes: DataFrame, percent: int, rows: int) -> DataFrame:
     """Pairs (a, b, apart) still open between members of different components, found exactly.
 
     Members outside a node's largest component are joined with all members by
@@ -327,10 +330,10 @@ def left_over_pairs(members: DataFrame, prefixes: DataFrame, percent: int) -> Da
     A pair that meets again at a later shingle is left out there if one of the
     ``HEAD`` rarest of both tells so. ``apart`` counts the sketches' bits that differ.
     """
-    prefix = settle(members.join(prefixes, "id"), "open-prefixes")
+    prefix = settle(members.join(prefixes, "id"), "open-prefixes", rows)
     # The rarest shingles are mostly a set's own: only those that can meet another get the rest of their row.
     met = prefix.select("outside", F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("k"), F.max("outside").alias("o"))
-    met = settle(met.filter("k > 1 and o").select("token"), "shared-shingles")
+    met = settle(met.filter("k > 1 and o").select("token"), "shared-shingles", rows)
     places = settle(prefix.select("id", F.posexplode("tokens").alias("place", "token")).join(met, "token"), "shared-places")
     prefix = places.join(prefix.drop("tokens"), "id")
     side = lambda x: [F.expr(e) for e in ("token", f"id as {x}", f"n - place as {x}r", f"n as {x}n", f"component as {x}c", f"slice(head, 1, least(place, {HEAD})) as {x}h")]
@@ -355,17 +358,18 @@ def with_left_over(links: DataFrame, left: DataFrame, sets: DataFrame, classes:
     links falls together without making them all; the few members that are
     still apart then get all their pairs.
     """
+    rows = TREES * classes.count()
     labels = components(links)
-    members = open_members(left, labels)
+    members = open_members(left, labels, rows)
     if members.isEmpty():
         return labels
-    prefixes = left_over_prefixes(members, sets, classes, percent)
-    late = settle(nearest_pairs(left_over_pairs(members, prefixes, percent)), "nearest-pairs")
+    prefixes = left_over_prefixes(members, sets, classes, percent, rows)
+    late = settle(nearest_pairs(left_over_pairs(members, prefixes, percent, rows)), "nearest-pairs", rows)
     if late.isEmpty():
         return labels
     links = links.union(confirmed(late, sets, percent))
     labels = components(links)
-    late = settle(left_over_pairs(open_members(left, labels), prefixes, percent).select("a", "b"), "late-pairs")
+    late = settle(left_over_pairs(open_members(left, labels, rows), prefixes, percent, rows).select("a", "b"), "late-pairs", rows)
     return labels if late.isEmpty() else components(links.union(confirmed(late, sets, percent)))
 
 
@@ -390,14 +394,13 @@ def near_duplicates(docs: DataFrame, gram: int = 5, percent: int = 80) -> DataFr
     )
     classes = settle(classes.withColumnRenamed("digest", "id"), "classes")
     pairs, left = candidate_pairs(classes.select("id", "n", "tokens"))
-    pairs = settle(pairs, "pairs")
     close = close_pairs(pairs, classes, percent)
     wanted = close.select(F.explode(F.array("a", "b")).alias("id")).union(left.select("id")).distinct()
     sets = full_sets(wanted, classes, source, gram)
     links = confirmed(close, sets, percent)
     labels = with_left_over(links, left, sets, classes, percent)
     grouped = classes.select("id", "first").join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    grouped = settle(grouped, "class-components")
+    grouped = settle(grouped, "class-components", classes.count())
     smallest = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
     named = settle(grouped.join(smallest, "component").select(F.col("id").alias("digest"), "component", "component_id"), "named-classes")
     result = signed.withColumn("d", F.when(F.col("n") > 0, F.col("digest"))).drop("digest")

@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hearthmill.llm import common, language, masked_lm, mixing, near_dedup
+from hearthmill.llm import common, contamination, language, masked_lm, mixing, near_dedup
+from hearthmill.sources.shared import ROWS_PER_TASK, few, settle
 
 SF_DIR = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, __language string, label string, id long"
@@ -126,6 +127,66 @@ def test_few_pairs_of_a_crowd_reach_the_full_sets(spark, monkeypatch):
     assert compared[0] < 3 * len(texts)
 
 
+@pytest.fixture
+def many_partitions(spark):
+    """211 shuffle partitions that Spark does not put together by itself; tells how many files each written table has."""
+    held = {"spark.sql.shuffle.partitions": "211", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    files = {}
+
+    def counting(df, label, rows=None):
+        table = settle(df, label, rows)
+        files[label] = max(files.get(label, 0), len(table.inputFiles()))
+        return table
+
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    yield counting, files
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_small_tables_of_near_dedup_are_few_files(spark, monkeypatch, many_partitions):
+    counting, files = many_partitions
+    monkeypatch.setattr(near_dedup, "settle", counting)
+    rng = random.Random(14)
+    rows = []
+    for group in range(150):
+        words = [f"g{group}x{rng.randrange(10**6)}" for _ in range(60)]
+        rows += [(2 * group, " ".join(words)), (2 * group + 1, " ".join([*words[:-2], "z", "y"]))]
+    crowd = [f"c{rng.randrange(10**6)}" for _ in range(80)]
+    rows += [(1000 + i, " ".join([*crowd, *[f"o{rng.randrange(10**6)}" for _ in range(20 if i % 2 else 3)]])) for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(frame, gram=4).collect()}
+    assert all(got[i] == i - i % 2 for i in range(300))
+    assert len({got[1000 + i] for i in range(0, 60, 2)}) == 1
+    own = {"sizes-0", "candidates-0", "sizes-3", "candidates-3", "pairs", "edges", "needed-classes", "left-over", "open-members"}
+    assert own <= set(files)
+    assert max(files[x] for x in own) <= 2 * spark.sparkContext.defaultParallelism, files
+
+
+def test_small_tables_of_windows_are_few_files(spark, monkeypatch, many_partitions):
+    counting, files = many_partitions
+    monkeypatch.setattr(contamination, "settle", counting)
+    rng = random.Random(15)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    items = spark.createDataFrame([(k, " ".join(words[20 * k : 20 * k + 20])) for k in range(20)], "item_id long, text string")
+    frame = spark.createDataFrame([(k, " ".join(words[20 * k : 20 * k + 15])) for k in range(20)], "doc_id long, text string")
+    got = contamination.contaminated_words(frame, items).collect()
+    assert sorted((r["doc_id"], r["n_hit"], r["item_ids"]) for r in got) == [(k, 15, [str(k)]) for k in range(20)]
+    own = {"window-shingles", "wanted-shingles", "window-prefixes"}
+    assert max(files[x] for x in own) <= 2 * spark.sparkContext.defaultParallelism, files
+
+
+def test_few_leaves_large_tables_as_they_are(spark):
+    frame = spark.range(0, 1000, 1, 50)
+    least = 2 * spark.sparkContext.defaultParallelism
+    assert few(frame, 1000).rdd.getNumPartitions() == min(50, least)
+    assert few(frame, 40 * ROWS_PER_TASK).rdd.getNumPartitions() == max(40, min(50, least))
+    assert few(frame, 10**12).rdd.getNumPartitions() == 50
+    assert few(frame, 0).agg(F.sum("id")).first()[0] == 499500
+
+
 def test_components_of_dense_and_long_shapes(spark):
     rng = random.Random(1)
     pairs = [(a, b) for a in range(40) for b in range(a + 1, 40)]
