@@ -240,6 +240,11 @@ def components(links: DataFrame) -> DataFrame:
         edges = settle(below.union(least.toDF("x", "y")).distinct(), "edges", rows)
 
 
+def joined_components(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The ``labels`` of ``components`` with further links: each id hangs on its component, so the first links are not gone through again."""
+    return components(labels.select(F.col("id").alias("a"), F.col("component").alias("b")).union(links))
+
+
 def _shingle_counts(members: DataFrame) -> np.ndarray:
     """How many shingles of all sets ``s`` fall into each of the ``PLACES`` hash places.
 
@@ -367,10 +372,9 @@ def with_left_over(links: DataFrame, left: DataFrame, sets: DataFrame, classes:
     late = settle(nearest_pairs(left_over_pairs(members, prefixes, percent, rows)), "nearest-pairs", rows)
     if late.isEmpty():
         return labels
-    links = links.union(confirmed(late, sets, percent))
-    labels = components(links)
+    labels = joined_components(labels, confirmed(late, sets, percent))
     late = settle(left_over_pairs(open_members(left, labels, rows), prefixes, percent, rows).select("a", "b"), "late-pairs", rows)
-    return labels if late.isEmpty() else components(links.union(confirmed(late, sets, percent)))
+    return labels if late.isEmpty() else joined_components(labels, confirmed(late, sets, percent))
 
 
 def near_duplicates(docs: DataFrame, gram: int = 5, percent: int = 80) -> DataFrame:

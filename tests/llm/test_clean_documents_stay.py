@@ -187,6 +187,14 @@ def test_few_leaves_large_tables_as_they_are(spark):
     assert few(frame, 0).agg(F.sum("id")).first()[0] == 499500
 
 
+def test_labels_with_further_links_are_those_of_all_links(spark):
+    first = [(i, i + 1) for i in range(0, 60) if i % 6 != 5]
+    more = [(5, 30), (17, 53), (53, 59), (100, 3), (101, 102)]
+    make = lambda pairs: spark.createDataFrame(pairs, "a long, b long")
+    joined = near_dedup.joined_components(near_dedup.components(make(first)), make(more)).collect()
+    assert sorted(map(tuple, joined)) == sorted(map(tuple, near_dedup.components(make(first + more)).collect()))
+
+
 def test_components_of_dense_and_long_shapes(spark):
     rng = random.Random(1)
     pairs = [(a, b) for a in range(40) for b in range(a + 1, 40)]
